@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 from brooklog.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from brooklog.llm.line_dedup import OP9_SQL, op9_line_dedup
+from brooklog.llm.packing import op5_packing
+from brooklog.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_packing": op5_packing,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_warc": op10_warc,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op9_line_dedup": OP9_SQL,
+    "op10_warc": OP10_SQL,
 }
