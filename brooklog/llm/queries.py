@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from brooklog.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from brooklog.llm.language_id import op2_language_id
 from brooklog.llm.line_dedup import OP9_SQL, op9_line_dedup
 from brooklog.llm.packing import op5_packing
 from brooklog.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
     "op5_packing": op5_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_warc": op10_warc,
