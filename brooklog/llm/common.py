@@ -67,10 +67,10 @@ def hot_cells(counted: DataFrame, key: str, n: str, total: int, parts: int = HOT
     return counted.where(F.col(n) > limit).select(key, F.ceil(F.col(n) / F.lit(float(limit))).cast("int").alias("cells"))
 
 
-def salted_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame, spread: Column, how: str = "inner") -> DataFrame:
+def salted_join(rows: DataFrame, table: DataFrame, key: str | list[str], hot: DataFrame, spread: Column, how: str = "inner") -> DataFrame:
     """rows joined with table (one row a key) on key. Rows of a hot key are dealt over its cells by spread, and table's row of it is repeated once a cell: fewer than 2 * HOT_PARTS rows more in all."""
     hot = F.broadcast(hot)
     cell = F.when(F.col("cells").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(spread), F.col("cells")).cast("int"))
     left = rows.join(hot, key, "left").withColumn("cell", cell).drop("cells")
     right = table.join(hot, key, "left").withColumn("cell", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("cells"), F.lit(1)) - 1))).drop("cells")
-    return left.join(right, [key, "cell"], how).drop("cell")
+    return left.join(right, [*([key] if isinstance(key, str) else key), "cell"], how).drop("cell")

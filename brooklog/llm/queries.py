@@ -5,18 +5,25 @@ from __future__ import annotations
 from brooklog.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from brooklog.llm.language_id import op2_language_id
 from brooklog.llm.line_dedup import OP9_SQL, op9_line_dedup
+from brooklog.llm.ngram_join import op4_ngram_join
 from brooklog.llm.packing import op5_packing
+from brooklog.llm.pii import op8_pii
+from brooklog.llm.secrets_scan import op3_secret_scan
 from brooklog.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_ngram_join": op4_ngram_join,
     "op5_packing": op5_packing,
+    "op8_pii": op8_pii,
     "op9_line_dedup": op9_line_dedup,
     "op10_warc": op10_warc,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op8_pii": op8_pii,
     "op9_line_dedup": OP9_SQL,
     "op10_warc": OP10_SQL,
 }
