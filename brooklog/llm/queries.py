@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from brooklog.llm.decontaminate import op7_decontaminate
 from brooklog.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from brooklog.llm.language_id import op2_language_id
 from brooklog.llm.line_dedup import OP9_SQL, op9_line_dedup
@@ -17,12 +18,14 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_ngram_join": op4_ngram_join,
     "op5_packing": op5_packing,
+    "op7_decontaminate": op7_decontaminate,
     "op8_pii": op8_pii,
     "op9_line_dedup": op9_line_dedup,
     "op10_warc": op10_warc,
 }
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op7_decontaminate": op7_decontaminate,
     "op8_pii": op8_pii,
     "op9_line_dedup": OP9_SQL,
     "op10_warc": OP10_SQL,
