@@ -62,10 +62,11 @@ def budget(m: int, q: int = Q, share: float = BUDGET) -> int:
 
 
 def grams(points: np.ndarray, q: int) -> np.ndarray:
-    out = np.zeros(max(0, len(points) - q + 1), np.uint64)
+    n = max(0, len(points) - q + 1)
+    out = np.zeros(n, np.uint64)
     for k in range(q):
         out *= BASE
-        out += points[k : len(points) - q + 1 + k]
+        out += points[k : k + n]
     out ^= out >> np.uint64(29)
     return out * BASE
 
