@@ -25,8 +25,6 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
-    "op7_decontaminate": op7_decontaminate,
-    "op8_pii": op8_pii,
     "op9_line_dedup": OP9_SQL,
     "op10_warc": OP10_SQL,
 }
