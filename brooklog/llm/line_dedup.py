@@ -80,6 +80,15 @@ def text_key(df: DataFrame, text_column: str):
     return F.xxhash64(text_of(df, text_column))
 
 
+def later_occurrences(rows: DataFrame, path: str) -> DataFrame:
+    """Of rows (RUNS), those whose hash is also in a row of a smaller id. What the tasks find is written below path."""
+    order = ["hash", "id", "text_key", "pos"]
+    runs = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_first_occurrences, RUNS), path)
+    begun = runs.where("pos = -1").groupBy("hash").agg(F.min("id").alias("first"))  # two rows a task at most
+    carried = runs.where("pos >= 0 AND hash IS NOT NULL").join(F.broadcast(begun), "hash").where("id > first")
+    return runs.where("hash IS NULL").unionByName(carried.drop("first"))
+
+
 def line_bitmaps(docs: DataFrame, scratch: str, id_column: str = "doc_id", text_column: str = "text", min_points: int = MIN_POINTS) -> DataFrame:
     """For each document that loses lines: id, text_key, n_lines, n_dropped, keep (zlib of packed bits, first line first)."""
     lines = F.split(text_of(docs, text_column), "\n", -1)
@@ -87,11 +96,7 @@ def line_bitmaps(docs: DataFrame, scratch: str, id_column: str = "doc_id", text_
     key = F.translate(F.btrim("line", F.lit(WHITE)), string.ascii_uppercase, string.ascii_lowercase)
     rows = rows.withColumn("key", key).where(F.length("key") >= min_points)
     rows = rows.select(F.unhex(F.left(F.sha2(F.col("key").cast("binary"), 256), F.lit(32))).alias("hash"), "id", "text_key", "pos", "n_lines")
-    order = ["hash", "id", "text_key", "pos"]
-    runs = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_first_occurrences, RUNS), f"{scratch}/runs")
-    begun = runs.where("pos = -1").groupBy("hash").agg(F.min("id").alias("first"))  # two rows a task at most
-    carried = runs.where("pos >= 0 AND hash IS NOT NULL").join(F.broadcast(begun), "hash").where("id > first")
-    dropped = runs.where("hash IS NULL").unionByName(carried.drop("first"))
+    dropped = later_occurrences(rows, f"{scratch}/runs")
     by_doc = dropped.groupBy("id", "text_key").agg(F.collect_set("pos").alias("dropped"), F.first("n_lines").alias("n_lines"))
     return by_doc.select("id", "text_key", "n_lines", F.size("dropped").alias("n_dropped"), _bitmap("dropped", "n_lines").alias("keep"))
 

@@ -10,6 +10,7 @@ from brooklog.llm.ngram_join import op4_ngram_join
 from brooklog.llm.packing import op5_packing
 from brooklog.llm.pii import op8_pii
 from brooklog.llm.secrets_scan import op3_secret_scan
+from brooklog.llm.substring_dedup import OP6_SQL, op6_substring_dedup
 from brooklog.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_ngram_join": op4_ngram_join,
     "op5_packing": op5_packing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_pii": op8_pii,
     "op9_line_dedup": op9_line_dedup,
@@ -25,6 +27,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op6_substring_dedup": OP6_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_warc": OP10_SQL,
 }
