@@ -192,6 +192,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text",
     return found
 
 
+def _clean(batches: Iterator[pa.RecordBatch], items: Broadcast, text_column: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        clean = [not (text and leaks(text, items.value)) for text in batch.column(text_column).to_pylist()]
+        yield batch.filter(pa.array(clean, pa.bool_()))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", q: int = Q, share: float = BUDGET, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of docs that leak no item. Rows are judged where they are, so nothing is shuffled."""
+    for block in blocks(benchmark, item_column, item_text_column, block_chars):
+        items = docs.sparkSession.sparkContext.broadcast(Items(block, q, share, min_chars))
+        docs = docs.mapInArrow(partial(_clean, items=items, text_column=text_column), docs.schema)
+    return docs
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -120,7 +120,7 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
 
 
 class SubstringIndex:
-    """The runs are listed in memory and in {root}/runs.json's place in state(); a new object over the same root continues from a given state."""
+    """state() names the runs, for an object over the same root that continues later."""
 
     def __init__(self, spark: SparkSession, root: str, window: int = WINDOW, gram: int = GRAM, max_runs: int = MAX_RUNS, state: str | None = None):
         self.spark, self.root, self.window, self.gram, self.max_runs = spark, root, window, gram, max_runs
