@@ -1,10 +1,72 @@
-"""Documents to packed sequences, stage by stage."""
+"""Documents to packed sequences: language, repeated lines, near duplicates, benchmark passages, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns rows with the columns of documents, but for
+the last, which returns the pieces of packed sequences. What stages decide:
+
+- language_id trains on the labels of its input and drops documents without a letter or of a score below MIN_SCORE; a null lang gets
+  the predicted one.
+- line_dedup drops lines that a document of smaller id has; documents that lose lines and have only white space left go.
+- near_duplicates (five-word shingles, similarity 0.8) keeps the document of smallest id of each component; rows without an id stay.
+- decontamination drops documents with a passage within the edit budget of a benchmark item.
+- packing cuts and places the ids of every document that is left.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from brooklog.llm import decontaminate, language_id, line_dedup, ngram_join, packing
+from brooklog.llm.common import WHITE, remove, shared_dir, written
+
+MIN_SCORE = 0.05
+#: The tokenizers and the trained profiles are outside SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prototypes = language_id.train(docs, shared_dir(spark, "language"))
+    judged = language_id.predict(docs, prototypes).where((F.col("lang_pred") != language_id.UND) & (F.col("score") >= MIN_SCORE))
+    return judged.select(*(F.coalesce(F.col("row")[c], F.col("lang_pred")).alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = line_dedup.with_kept_text(docs, shared_dir(spark, "lines"))
+    kept = kept.where(F.col("n_dropped").isNull() | (F.btrim("kept", F.lit(WHITE)) != ""))
+    changed = F.col("n_dropped").isNotNull()
+    new = {"text": F.col("kept"), "n_chars": F.length("kept")}
+    return kept.select(*(F.when(changed, new[c].cast(docs.schema[c].dataType)).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = ngram_join.NgramJoin(docs, shared_dir(spark, "near")).result()
+    gone = found.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark_passages),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, scratch, old = spark.read.parquet(f"{sf_dir}/documents.parquet"), shared_dir(spark, "pipeline"), None
+    for k, (name, stage) in enumerate(STAGES):
+        path = f"{scratch}/{k}-{name}"
+        docs = written(stage(spark, docs, sf_dir), path)
+        if old:
+            remove(spark, old)
+        old = path
+    return docs
