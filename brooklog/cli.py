@@ -7,7 +7,7 @@ import logging
 import os
 import signal
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from brooklog.session import session
 from brooklog.sources import changes
@@ -58,8 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.control:
         store = ControlStore(spark, args.control)
         store.migrate()
-        store.write("runners", register_runner(store.read("runners"), runner, datetime.now()))
-        after = lambda df, n: store.write("runners", refresh_runner(store.read("runners"), runner, datetime.now()))
+        store.write("runners", register_runner(store.read("runners"), runner, datetime.now(timezone.utc).replace(tzinfo=None)))
+        after = lambda df, n: store.write("runners", refresh_runner(store.read("runners"), runner, datetime.now(timezone.utc).replace(tzinfo=None)))
     stream = spark.readStream.format("changes").options(**options).load()
     query = subscribe(stream, args.checkpoint, json_lines(), bounded=not args.follow, ack_timeout=args.ack_timeout, pool=args.pool, name="brooklog", after_batch=after)
     signal.signal(signal.SIGINT, lambda *_: query.stop())

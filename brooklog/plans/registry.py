@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +16,7 @@ from brooklog.operators import apply, control, decode, lineage, transitions, wat
 from brooklog.schemas import END_OF_TIME, ROOT_TOKEN, RUNNING
 from brooklog.sources import changelog
 from brooklog.sources.control import assignments_from_lineitem, last_seen, partitions_from_orders, runners_from_lineitem
+from brooklog.streaming.subscriber import subscribe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -337,3 +341,19 @@ def payload_json(spark, sf_dir):
     log = _log(spark, sf_dir)
     emitted = decode.flatten(changelog.to_wire(log), _log_partitions(log))
     return emitted.select("record_sequence", decode.payload_json(emitted).alias("payload"))
+
+
+@query("SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey FROM nation")
+def stream_ack_gate(spark, sf_dir):
+    """The nations, delivered as a stream of JSON documents whose batch waits for all acknowledgements: the keys that were acknowledged."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    path = f"{sf_dir}/nation.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[{path[-1]}]")
+    got: list[int] = []
+
+    def take(document, ack):
+        got.append(json.loads(document)["n_nationkey"])
+        ack(None)
+
+    subscribe(stream.select(F.to_json(F.struct("n_nationkey", "n_name")).alias("payload")), f"{base}/brooklog/ack-{uuid.uuid4().hex}", ack_consumer=take, bounded=True, ack_timeout=60).awaitTermination()
+    return spark.createDataFrame([(k,) for k in got], "n_nationkey long")

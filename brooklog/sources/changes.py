@@ -35,9 +35,10 @@ class Slice(InputPartition):
 
 class _Reader:
     def __init__(self, options: dict[str, str]):
+        options = {k.lower(): v for k, v in options.items()}  # Spark gives them in lower case
         self.path = options["path"]
-        self.start, self.end = micros(options.get("startTimestamp", "0001-01-01")), micros(options.get("endTimestamp", END))
-        self.most, self.step = int(options.get("maxPartitionsPerTrigger", 0)), int(float(options.get("stepSeconds", 0)) * 1e6)
+        self.start, self.end = micros(options.get("starttimestamp", "0001-01-01")), micros(options.get("endtimestamp", END))
+        self.most, self.step = int(options.get("maxpartitionspertrigger", 0)), int(float(options.get("stepseconds", 0)) * 1e6)
 
     def tokens(self) -> list[str]:
         """The partitions there are now; children appear as their folders do."""
