@@ -62,7 +62,7 @@ def deliver(batch: DataFrame, payload: str, consumer: Consume | None, ack_consum
     """The records of a batch, in order, to one of the consumers. Rows come to the driver partition by partition."""
     gate, n = Gate(), 0
     order = [c for c in ORDER if c in batch.columns]
-    for row in batch.sort(*order).select(payload).toLocalIterator():
+    for row in (batch.sort(*order) if order else batch).select(payload).toLocalIterator():
         n += 1
         if consumer:
             consumer(row[0])
