@@ -128,7 +128,7 @@ def train(docs: DataFrame, scratch: str, lang_column: str = "lang", text_column:
 
 def _predict(batches: Iterator[pa.RecordBatch], prototypes: dict[str, list[float]], dimensions: int, n: int) -> Iterator[pa.RecordBatch]:
     names = sorted(prototypes)
-    table = np.array([prototypes[k] for k in names]).reshape(len(names), -1)
+    table = np.array([prototypes[k] for k in names]).reshape(len(names), dimensions)
     if len(names):
         table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-12)
     shared = table.mean(axis=0) if len(names) > 1 else np.zeros(dimensions)
