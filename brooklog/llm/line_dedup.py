@@ -96,6 +96,7 @@ def line_bitmaps(docs: DataFrame, scratch: str, id_column: str = "doc_id", text_
     key = F.translate(F.btrim("line", F.lit(WHITE)), string.ascii_uppercase, string.ascii_lowercase)
     rows = rows.withColumn("key", key).where(F.length("key") >= min_points)
     rows = rows.select(F.unhex(F.left(F.sha2(F.col("key").cast("binary"), 256), F.lit(32))).alias("hash"), "id", "text_key", "pos", "n_lines")
+    rows = written(rows, f"{scratch}/lines")  # read twice: to sample the ranges, and to sort
     dropped = later_occurrences(rows, f"{scratch}/runs")
     by_doc = dropped.groupBy("id", "text_key").agg(F.collect_set("pos").alias("dropped"), F.first("n_lines").alias("n_lines"))
     return by_doc.select("id", "text_key", "n_lines", F.size("dropped").alias("n_dropped"), _bitmap("dropped", "n_lines").alias("keep"))
