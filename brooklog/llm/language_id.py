@@ -28,7 +28,7 @@ DIMENSIONS, N, SEED = 512, 3, 20240
 PER_LANGUAGE = 10_000
 MAX_LANGUAGES = 4096
 #: n-grams whose vectors a worker keeps; beyond it starts anew.
-CACHE_GRAMS = 50_000
+CACHE_GRAMS = 30_000
 #: Code points of a text that are profiled at a time.
 SEGMENT = 1 << 20
 UND = "und"
