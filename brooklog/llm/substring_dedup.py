@@ -172,17 +172,22 @@ class SubstringIndex:
         need = written(need, f"{scratch}/need")
         if keep:
             self._add_run("anchors", own.select("anchor", F.least("first", "old_first").alias("first"), ((F.col("first") != F.col("last")) | F.col("old_first").isNotNull()).alias("several")))
-        remove(spark, f"{scratch}/postings")
+        for name in ("postings", "own", "shared"):
+            remove(spark, f"{scratch}/{name}")
 
         texts = docs.join(need, "id", "left")
         if history is not None:
             texts = texts.unionByName(named(history, False).join(need, "id"))
         work = written(texts.select("id", "text_key", "text", "shared", "new").mapInArrow(partial(_windows, window=window, gram=gram), WORK), f"{scratch}/work")
+        remove(spark, f"{scratch}/need")
         rows = work.where("kind = 'window'").select("hash", "id", "text_key", "pos", F.col("n_words").alias("n_lines"))
         known = self._run("windows").select("hash", F.col("first").alias("id"), F.lit(0).cast("long").alias("text_key"), F.lit(0).alias("pos"), F.lit(0).alias("n_lines"))
         dropped = later_occurrences(rows.unionByName(known) if self.runs["windows"] else rows, f"{scratch}/runs")
         if keep:
             self._add_run("windows", rows.groupBy("hash").agg(F.min("id").alias("first")))
+        kept = written(work.where("kind <> 'window'").select("kind", "id", "text_key", "n_words", "kept_sha256", "text"), f"{scratch}/rest")
+        remove(spark, f"{scratch}/work")
+        work = kept
         starts = dropped.groupBy("id", "text_key").agg(F.collect_set("pos").alias("starts"))
         cut = work.where("kind = 'text'").select("id", "text_key", "text").join(starts, ["id", "text_key"], "left")
         cut = cut.mapInArrow(partial(_cut, window=window), "id long, text_key long, n_words long, n_removed long, kept_sha256 string")
