@@ -7,10 +7,10 @@ any fixed order gives the same links. A pair that shares a prefix shingle must p
 first shared shingle, and the suffix filter (numbers of shingles in eight fixed ranges of the hash, which bound the Hamming distance)
 before its texts are compared.
 
-Links are wanted for components, so pairs known to be connected are not compared: in the first pass every class of a bucket (the classes
-that share a prefix shingle) is compared with the bucket's leader only; in the second, classes which that did not connect with their
-leader are compared with all others of the bucket outside their component. No bucket is capped, and none emits all its pairs when its
-classes are near copies of each other.
+Links are wanted for components, so pairs known to be connected are not compared. First every class of a bucket (the classes that share
+a prefix shingle) is compared with the bucket's leader only, its most central class; then those that stayed outside the leader's
+component with the most central of them; last, what is still outside with all others of the bucket in another component. No bucket is
+capped, and none emits all its pairs when its classes are copies of a text in it.
 
 Defined results: null or empty texts, and rows with a null id, are linked with nothing; rows that share an id are one document; an empty
 table gives no rows; other columns are ignored whatever their names.
@@ -38,6 +38,12 @@ WORDS, PERCENT = 5, 80
 SKETCH, CHUNKS = 1 << 20, 64
 #: Classes of which a task remembers that it has indexed them; a repeat is dropped by the grouping that follows anyhow.
 SEEN = 200_000
+#: Rounds in which classes are compared with a leader only; then the rest are compared with each other.
+ROUNDS = 2
+#: Classes in a bucket from which on it gets the sharper filters in the last comparison, which cost a look at its texts.
+LARGE = 32
+#: Parts of the hash's values in the suffix filter of the last comparison; in the index, which has a row a shingle, there are eight.
+RANGES = 128
 CLASS = ["c1", "c2"]
 
 
@@ -113,6 +119,21 @@ def _texts(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()), batch.column(0)], names=["c1", "c2", "text"])
 
 
+def _tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for c1, c2, text in zip(*(batch.column(c).to_pylist() for c in ("c1", "c2", "text")), strict=True):
+            tokens = shingles(text, words).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(np.full(len(tokens), c1)), pa.array(np.full(len(tokens), c2))], names=["token", "c1", "c2"])
+
+
+def _ranges(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """Numbers of tokens in RANGES equal parts of the hash's values."""
+    shift = np.uint64(64 - RANGES.bit_length() + 1)
+    for batch in batches:
+        counts = [np.bincount((shingles(t, words) >> shift).astype(np.int64), minlength=RANGES).clip(max=32767).astype(np.int16) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("c1"), batch.column("c2"), pa.array(counts, pa.list_(pa.int16()))], names=["c1", "c2", "ranges"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     sets: OrderedDict[tuple, np.ndarray] = OrderedDict()
 
@@ -143,11 +164,32 @@ def _candidates(shared: DataFrame, percent: int) -> DataFrame:
     """Pairs, once each, that may link: shared has a row for each prefix token of a pair."""
     shared = shared.where(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
     first = shared.groupBy("a1", "a2", "b1", "b2").agg(F.min(F.struct("a_pos", "b_pos")).alias("at"), *(F.first(c).alias(c) for c in ("a_n", "b_n", "a_signature", "b_signature")))
-    overlap = F.ceil(F.lit(percent) * (F.col("a_n") + F.col("b_n")) / F.lit(100.0 + percent))
+    overlap = _overlap(F.col("a_n"), F.col("b_n"), percent)
     first = first.where(1 + F.least(F.col("a_n") - F.col("at.a_pos"), F.col("b_n") - F.col("at.b_pos")) - 1 >= overlap)
     return first.where((F.col("a_n") + F.col("b_n") - _suffixes_differ()) / 2 >= overlap).select("a1", "a2", "b1", "b2")
 
 
+def _overlap(a, b, percent: int):
+    """The least overlap of linked sets of sizes a and b."""
+    return F.ceil(F.lit(percent) * (a + b) / F.lit(100.0 + percent))
+
+
+def _may_link(percent: int):
+    """The length filter, the positional filter for any shared shingle (as many before it as both have, and it, and as many after it as both have), and the suffix filter."""
+    overlap = _overlap(F.col("a_n"), F.col("b_n"), percent)
+    shared = F.least("a_pos", "b_pos") + 1 + F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) - 1
+    return F.expr(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)") & (shared >= overlap) & ((F.col("a_n") + F.col("b_n") - _suffixes_differ()) / 2 >= overlap)
+
+
+def _ranges_allow(percent: int):
+    apart = F.aggregate(F.zip_with("a_ranges", "b_ranges", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda acc, x: acc + x)
+    return F.col("a_n") + F.col("b_n") - apart >= 2 * _overlap(F.col("a_n"), F.col("b_n"), percent)
+
+
+def _rank():
+    return F.struct("away", "n", *CLASS)
+
+
 def _side(df: DataFrame, side: str, *more: str) -> list:
     return [F.col("c1").alias(f"{side}1"), F.col("c2").alias(f"{side}2"), F.col("n").alias(f"{side}_n"), F.col("pos").alias(f"{side}_pos"), F.col("signature").alias(f"{side}_signature"), *more]
 
@@ -157,18 +199,44 @@ class NgramJoin:
         self.spark, self.scratch, self.words, self.percent = docs.sparkSession, scratch, words, percent
         self.docs = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"))
 
+    def _texts_of(self, classes: DataFrame, name: str) -> DataFrame:
+        """c1, c2, text: a text of each class, written."""
+        wanted = classes.join(self.firsts, CLASS).select(F.col("rep").alias("id")).distinct()
+        texts = self.docs.where("id IS NOT NULL AND text IS NOT NULL").join(wanted, "id", "left_semi").select("text")
+        return written(texts.mapInArrow(partial(_texts, words=self.words), "c1 long, c2 long, text string").dropDuplicates(CLASS), f"{self.scratch}/{name}-texts")
+
     def _linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs of classes whose texts link, as pairs (u, v) of documents that stand for them."""
         pairs = written(pairs, f"{self.scratch}/{name}-pairs")
-        wanted = pairs.select(F.col("a1").alias("c1"), F.col("a2").alias("c2")).union(pairs.select("b1", "b2")).distinct().join(self.firsts, CLASS).select(F.col("rep").alias("id")).distinct()
-        texts = self.docs.where("id IS NOT NULL AND text IS NOT NULL").join(wanted, "id", "left_semi").select("text")
-        texts = written(texts.mapInArrow(partial(_texts, words=self.words), "c1 long, c2 long, text string").dropDuplicates(CLASS), f"{self.scratch}/{name}-texts")
+        texts = self._texts_of(pairs.select(F.col("a1").alias("c1"), F.col("a2").alias("c2")).union(pairs.select("b1", "b2")).distinct(), name)
         sides = [texts.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), F.col("text").alias(f"{s}_text")) for s in "ab"]
         whole = pairs.join(sides[0], ["a1", "a2"]).join(sides[1], ["b1", "b2"])
         good = whole.mapInArrow(partial(_verify, words=self.words, percent=self.percent), "a1 long, a2 long, b1 long, b2 long")
         reps = [self.firsts.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), F.col("rep").alias(r)) for s, r in (("a", "u"), ("b", "v"))]
         return written(good.join(reps[0], ["a1", "a2"]).join(reps[1], ["b1", "b2"]).select("u", "v"), f"{self.scratch}/{name}-links")
 
+    def _without_hopeless(self, placed: DataFrame, texts: DataFrame) -> DataFrame:
+        """With most: how many of a class's shingles are in another class of placed at all. Classes that could not reach the overlap even with the smallest set of their bucket go, so near copies that are too far from each other are not paired."""
+        tokens = texts.mapInArrow(partial(_tokens, words=self.words), "token long, c1 long, c2 long")
+        alone = tokens.groupBy("token").agg(F.min(F.struct(*CLASS)).alias("low"), F.max(F.struct(*CLASS)).alias("high")).where("low = high")
+        alone = written(alone.groupBy(F.col("low.c1").alias("c1"), F.col("low.c2").alias("c2")).agg(F.count(F.lit(1)).alias("alone")), f"{self.scratch}/alone")
+        placed = placed.join(alone, CLASS, "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
+        least = placed.groupBy("token").agg(F.min("n").alias("least_n"))
+        smallest = F.greatest("least_n", F.ceil(F.lit(self.percent / 100 - 1e-9) * F.col("n")))
+        placed = placed.join(least, "token").where(F.col("most") >= _overlap(F.col("n"), smallest, self.percent))
+        ranges = texts.mapInArrow(partial(_ranges, words=self.words), "c1 long, c2 long, ranges array<short>")
+        return written(placed.join(ranges, CLASS), f"{self.scratch}/hopeful")
+
+    @staticmethod
+    def _across(placed: DataFrame, may_link, more: list[str] | None = None) -> DataFrame:
+        """A row for each prefix token that two classes of different components share, one of them outside the leader's component."""
+        side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in more or []]
+        minor = placed.where("minor").select("token", *_side(placed, "a", "component", *side("a")))
+        others = placed.select("token", *_side(placed, "b", F.col("component").alias("other"), F.col("minor").alias("b_minor"), *side("b")))
+        differ = F.expr("component <> other AND (NOT b_minor OR (a1, a2) < (b1, b2))")
+        shared = [f"{s}{c}" for s in "ab" for c in ("1", "2", "_n", "_pos", "_signature")]
+        return minor.join(others, (minor["token"] == others["token"]) & differ & may_link).select(*shared)
+
     def result(self) -> DataFrame:
         """A row for each document: id, n_shingles, component, class_rep (smallest id with the same shingles)."""
         spark, scratch, words, percent = self.spark, self.scratch, self.words, self.percent
@@ -182,27 +250,39 @@ class NgramJoin:
 
         entries = self.docs.where("id IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(partial(_index, words=words, percent=percent, sketch=sketch), "token long, c1 long, c2 long, n long, pos long, signature long")
         entries = written(entries, f"{scratch}/entries")
-        ranked = F.struct(F.col("n"), *CLASS)
-        leaders = entries.groupBy("token").agg(F.min(ranked).alias("leader"), F.max(ranked).alias("last")).where("leader <> last").select("token", F.col("leader.c1").alias("l1"), F.col("leader.c2").alias("l2"))
-        leaders = written(leaders, f"{scratch}/leaders")
+        ends = entries.groupBy("token").agg(F.min(F.struct(*CLASS)).alias("low"), F.max(F.struct(*CLASS)).alias("high")).where("low <> high").select("token")
+        ends = written(ends, f"{scratch}/tokens")
         # only shingles of several classes stay; the same class may have been indexed by several tasks
-        index = written(entries.join(leaders, "token").dropDuplicates(["token", *CLASS]), f"{scratch}/index")
+        index = written(entries.join(ends, "token").dropDuplicates(["token", *CLASS]), f"{scratch}/shared")
         sketch.unpersist()
-
-        lead = index.where("c1 = l1 AND c2 = l2").select("token", *_side(index, "b"))
-        first = index.where("c1 <> l1 OR c2 <> l2").select("token", *_side(index, "a")).join(lead, "token")
-        links = self._linked(_candidates(first, percent), "first")
-        reached = components(links, f"{scratch}/first")
-        reached = written(self.firsts.join(reached, F.col("rep") == F.col("node"), "left").select(*CLASS, F.coalesce("component", "rep").alias("component")), f"{scratch}/reached")
-
-        placed = index.join(reached, CLASS)
-        tops = placed.where("c1 = l1 AND c2 = l2").select("token", F.col("component").alias("top"))
-        placed = written(placed.join(tops, "token"), f"{scratch}/placed")
-        minor = placed.where("component <> top").select("token", *_side(placed, "a", "component"))
-        others = placed.where("c1 <> l1 OR c2 <> l2").select("token", *_side(placed, "b", F.col("component").alias("other"), (F.col("component") != F.col("top")).alias("is_minor")))
-        rest = minor.join(others, "token").where("component <> other AND (NOT is_minor OR (a1, a2) < (b1, b2))")
-        links = links.union(self._linked(_candidates(rest, percent), "rest"))
-        found = components(links, f"{scratch}/all")
+        # a text that others are copies of shares most of its prefix, as it has no words of its own
+        central = index.groupBy(*CLASS).agg((-F.count(F.lit(1)) / F.first(F.col("n") - F.ceil(F.lit(percent / 100) * F.col("n")) + 1)).alias("away"))
+        index = written(index.join(central, CLASS), f"{scratch}/index")
+
+        links, reached = None, self.firsts.select(*CLASS, F.col("rep").alias("component"))
+        for k in range(ROUNDS + 1):
+            placed = index.join(reached, CLASS)
+            tops = placed.groupBy("token").agg(F.min_by("component", _rank()).alias("top"), F.count_distinct("component").alias("several")).where("several > 1").select("token", "top")
+            placed = written(placed.join(tops, "token").withColumn("minor", F.col("component") != F.col("top")), f"{scratch}/placed{k}")
+            if k < ROUNDS:
+                # in the first round a bucket's leader is its most central class, later that of the classes outside the leader's component
+                members = placed if k == 0 else placed.where("minor")
+                leads = members.groupBy("token").agg(F.min(_rank()).alias("lead")).select("token", F.col("lead.c1").alias("l1"), F.col("lead.c2").alias("l2"))
+                leads = written(leads, f"{scratch}/leads{k}")
+                lead = members.join(leads, "token").where("c1 = l1 AND c2 = l2").select("token", *_side(members, "b", F.col("component").alias("other")))
+                pairs = members.select("token", *_side(members, "a", "component")).join(lead, "token").where("component <> other")
+            else:
+                large = written(placed.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE).select("token"), f"{scratch}/large")
+                pairs = self._across(placed.join(large, "token", "left_anti"), _may_link(percent))
+                among = written(placed.join(large, "token"), f"{scratch}/among")
+                among = self._without_hopeless(among, self._texts_of(among.select(*CLASS).distinct(), "among"))
+                bound = F.least("a_most", "b_most") >= _overlap(F.col("a_n"), F.col("b_n"), percent)
+                pairs = pairs.unionByName(self._across(among, bound & _may_link(percent) & _ranges_allow(percent), ["most", "ranges"]))
+            more = self._linked(_candidates(pairs, percent), f"pairs{k}")
+            links = more if links is None else links.union(more)
+            found = components(links, f"{scratch}/components{k}")
+            reached = self.firsts.join(found, F.col("rep") == F.col("node"), "left").select(*CLASS, F.coalesce("component", "rep").alias("component"))
+            reached = written(reached, f"{scratch}/reached{k}")
 
         joined = self.firsts.join(found, F.col("rep") == F.col("node"), "left").select(*CLASS, "size", "rep", F.coalesce("component", "rep").alias("component"))
         joined = written(joined, f"{scratch}/components")
