@@ -3,8 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns rows with the columns of documents, but for
 the last, which returns the pieces of packed sequences. What stages decide:
 
-- language_id trains on the labels of its input and drops documents without a letter or of a score below MIN_SCORE; a null lang gets
-  the predicted one.
+- language_id trains on the labels of its input and drops documents without a letter; a null lang gets the predicted one (`und` if
+  there are no labels). No score is a reason to drop: that of a short clean text is of the size of the vectors' noise.
 - line_dedup drops lines that a document of smaller id has; documents that lose lines and have only white space left go.
 - near_duplicates (five-word shingles, similarity 0.8) keeps the document of smallest id of each component; rows without an id stay.
 - decontamination drops documents with a passage within the edit budget of a benchmark item.
@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from brooklog.llm import decontaminate, language_id, line_dedup, ngram_join, packing
 from brooklog.llm.common import WHITE, remove, shared_dir, written
 
-MIN_SCORE = 0.05
 #: The tokenizers and the trained profiles are outside SQL.
 ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prototypes = language_id.train(docs, shared_dir(spark, "language"))
-    judged = language_id.predict(docs, prototypes).where((F.col("lang_pred") != language_id.UND) & (F.col("score") >= MIN_SCORE))
+    # texts with a letter are `und` too where nothing is trained, or where that is a label
+    judged = language_id.predict(docs, prototypes).where((F.col("lang_pred") != language_id.UND) | F.col("row.text").rlike(r"\p{L}"))
     return judged.select(*(F.coalesce(F.col("row")[c], F.col("lang_pred")).alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns))
 
 

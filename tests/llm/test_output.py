@@ -151,6 +151,21 @@ def test_pipeline_stages(spark, tables):
     assert names == ["language_id", "line_dedup", "near_duplicates", "decontamination", "packing"]
 
 
+def test_language_stage_keeps_short_clean_texts(spark, tables, tmp_path):
+    rng = random.Random(5)
+    words = {"en": "the river house of blue stone and green hill over water".split(), "fr": "le fleuve maison de pierre bleue et colline verte sur eau".split()}
+    rows = [(d, " ".join(rng.choice(words[lang]) for _ in range(40)), lang) for d, lang in enumerate(["en", "fr"] * 10)]
+    short = ["Avec.", "A.", "Ok", "Quiz", "Why?", "Zut!", "Yes", "Non", "Ja", "Hm", "x", "Été", "日本", "Да"]
+    rows += [(100 + k, t, lang) for k, t in enumerate(short) for lang in ("en", "fr", None, "und")]
+    rows += [(900, "12.", "en"), (901, None, "fr"), (902, "", None), (903, "?!", "und")]
+    stage = lambda rows: corpus_pipeline.identify_language(spark, spark.read.parquet(tables.documents(rows) + "/documents.parquet"), "").collect()
+    got = stage(rows)
+    assert sorted((r["doc_id"], r["text"]) for r in got) == sorted(r[:2] for r in rows if r[0] < 900)
+    assert all(r["lang"] for r in got)
+    tables.root = tmp_path / "unlabelled"
+    assert {(r["doc_id"], r["lang"]) for r in stage([(1, "some text", None), (2, "12", None)])} == {(1, "und")}
+
+
 def test_pipeline_of_nothing(spark, tables):
     at = tables.documents([])
     tables.table("benchmark", [], "item_id long, text string")
