@@ -7,10 +7,10 @@ any fixed order gives the same links. A pair that shares a prefix shingle must p
 first shared shingle, and the suffix filter (numbers of shingles in eight fixed ranges of the hash, which bound the Hamming distance)
 before its texts are compared.
 
-Links are wanted for components, so pairs known to be connected are not compared. First every class of a bucket (the classes that share
+pairs() gives every link between classes. result() wants them for components only, so pairs known to be connected are not compared. First every class of a bucket (the classes that share
 a prefix shingle) is compared with the bucket's leader only, its most central class; then those that stayed outside the leader's
 component with the most central of them; last, what is still outside with all others of the bucket in another component. No bucket is
-capped, and none emits all its pairs when its classes are copies of a text in it.
+capped, and in result() none emits all its pairs when its classes are copies of a text in it.
 
 Defined results: null or empty texts, and rows with a null id, are linked with nothing; rows that share an id are one document; an empty
 table gives no rows; other columns are ignored whatever their names.
@@ -44,6 +44,8 @@ ROUNDS = 2
 LARGE = 32
 #: Parts of the hash's values in the suffix filter of the last comparison; in the index, which has a row a shingle, there are eight.
 RANGES = 128
+#: Classes of a bucket in a cell of pairs(), which holds those of one cell against those of another.
+CELL = 256
 CLASS = ["c1", "c2"]
 
 
@@ -198,6 +200,7 @@ class NgramJoin:
     def __init__(self, docs: DataFrame, scratch: str, words: int = WORDS, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text"):
         self.spark, self.scratch, self.words, self.percent = docs.sparkSession, scratch, words, percent
         self.docs = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"))
+        self.classes = self.firsts = self.index = None
 
     def _texts_of(self, classes: DataFrame, name: str) -> DataFrame:
         """c1, c2, text: a text of each class, written."""
@@ -237,11 +240,26 @@ class NgramJoin:
         shared = [f"{s}{c}" for s in "ab" for c in ("1", "2", "_n", "_pos", "_signature")]
         return minor.join(others, (minor["token"] == others["token"]) & differ & may_link).select(*shared)
 
-    def result(self) -> DataFrame:
-        """A row for each document: id, n_shingles, component, class_rep (smallest id with the same shingles)."""
+    @staticmethod
+    def _within(placed: DataFrame, may_link, more: list[str] | None = None) -> DataFrame:
+        """A row for each prefix token that two classes share, each pair in one order. Buckets are dealt over pairs of cells, so no task holds a large one against itself."""
+        side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in more or []]
+        sizes = placed.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells"))
+        placed = placed.join(sizes, "token").withColumn("own", F.pmod(F.xxhash64(*CLASS), F.col("cells")).cast("int"))
+        each = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
+        a = placed.select("token", F.col("own").alias("a_cell"), each.alias("b_cell"), *_side(placed, "a", *side("a")))
+        b = placed.select("token", each.alias("a_cell"), F.col("own").alias("b_cell"), *_side(placed, "b", *side("b")))
+        keys = [a[c] == b[c] for c in ("token", "a_cell", "b_cell")]
+        shared = [f"{s}{c}" for s in "ab" for c in ("1", "2", "_n", "_pos", "_signature")]
+        return a.join(b, [*keys, F.expr("(a1, a2) < (b1, b2)") & may_link]).select(*shared)
+
+    def _prepare(self) -> None:
+        """classes (a row a document), firsts (a row a class) and index (a row a prefix shingle that several classes have)."""
+        if self.index is not None:
+            return
         spark, scratch, words, percent = self.spark, self.scratch, self.words, self.percent
         both = written(self.docs.mapInArrow(partial(_classes, words=words), "id long, n long, c1 long, c2 long, counts binary"), f"{scratch}/classes")
-        classes = both.where("counts IS NULL").drop("counts")
+        self.classes = classes = both.where("counts IS NULL").drop("counts")
         counts = both.where("counts IS NOT NULL").select("n", "counts").repartition(CHUNKS, "n").mapInArrow(_added, "chunk long, counts binary").collect()  # CHUNKS rows, SKETCH counters
         counters = b"".join(r["counts"] for r in sorted(counts, key=lambda r: r["chunk"])) or bytes(4 * SKETCH)
         sketch = spark.sparkContext.broadcast(counters)
@@ -257,8 +275,24 @@ class NgramJoin:
         sketch.unpersist()
         # a text that others are copies of shares most of its prefix, as it has no words of its own
         central = index.groupBy(*CLASS).agg((-F.count(F.lit(1)) / F.first(F.col("n") - F.ceil(F.lit(percent / 100) * F.col("n")) + 1)).alias("away"))
-        index = written(index.join(central, CLASS), f"{scratch}/index")
+        self.index = written(index.join(central, CLASS), f"{scratch}/index")
+
+    def pairs(self) -> DataFrame:
+        """All links between classes, once each: u < v, the documents that stand for them (smallest id with the same shingles)."""
+        self._prepare()
+        index, scratch, percent = self.index, self.scratch, self.percent
+        large = written(index.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE).select("token"), f"{scratch}/all-large")
+        pairs = self._within(index.join(large, "token", "left_anti"), _may_link(percent))
+        among = written(index.join(large, "token"), f"{scratch}/all-among")
+        among = self._without_hopeless(among, self._texts_of(among.select(*CLASS).distinct(), "all-among"))
+        bound = F.least("a_most", "b_most") >= _overlap(F.col("a_n"), F.col("b_n"), percent)
+        pairs = pairs.unionByName(self._within(among, bound & _may_link(percent) & _ranges_allow(percent), ["most", "ranges"]))
+        return self._linked(_candidates(pairs, percent), "all").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
+    def result(self) -> DataFrame:
+        """A row for each document: id, n_shingles, component, class_rep (smallest id with the same shingles)."""
+        self._prepare()
+        spark, scratch, percent, classes, index = self.spark, self.scratch, self.percent, self.classes, self.index
         links, reached = None, self.firsts.select(*CLASS, F.col("rep").alias("component"))
         for k in range(ROUNDS + 1):
             placed = index.join(reached, CLASS)

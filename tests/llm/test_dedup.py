@@ -153,6 +153,41 @@ def test_chain_of_near_copies_and_a_large_group(spark, scratch):
         assert got == brute.near(rows, words, percent)
 
 
+def linked(rows, k, percent):
+    """All links between texts of different shingles, by the smallest ids that have them."""
+    first = {}
+    for d, t in sorted(rows):
+        w = brute.words(brute.lower(t or ""))
+        if w:
+            first.setdefault(frozenset([tuple(w)]) if len(w) < k else frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)), d)
+    sets = sorted(first.items(), key=lambda x: x[1])
+    return {(u, v) for n, (x, u) in enumerate(sets) for y, v in sets[n + 1 :] if 100 * (both := len(x & y)) >= percent * (len(x) + len(y) - both) and both}
+
+
+@pytest.mark.parametrize("cell", [256, 7])
+def test_pairs_are_all_links_between_classes(spark, scratch, monkeypatch, cell):
+    monkeypatch.setattr("brooklog.llm.ngram_join.CELL", cell)
+    rng = random.Random(7)
+    center = [f"c{k}" for k in range(120)]
+    rows = [r for r in corpus(2, 50) if r[0] not in (3, 4)]
+    for d in range(100, 150):  # near copies that all link, in one component with the first
+        copy = list(center)
+        copy[rng.randrange(120)] = f"y{rng.randrange(10**6)}"
+        rows.append((d, " ".join(copy)))
+    for d in range(150, 190):  # others that share its words, few of them links
+        copy = list(center)
+        for _ in range(rng.randint(3, 8)):
+            copy[rng.randrange(120)] = f"y{rng.randrange(10**6)}"
+        rows.append((d, " ".join(copy)))
+    rows.append((200, rows[-1][1]))
+    df = spark.createDataFrame([*rows, (None, " ".join(center))], "doc_id long, text string").repartition(4)
+    for words, percent in ((3, 90), (5, 80)):
+        join = NgramJoin(df, scratch(), words, percent)
+        found, want = [tuple(r) for r in join.pairs().collect()], linked(rows, words, percent)
+        assert len(found) == len(set(found)) and set(found) == want and len(want) > 1000
+        assert {r["id"]: r["component"] for r in join.result().collect() if r["id"] is not None} == {d: c for d, (_, c) in brute.near(rows, words, percent).items()}
+
+
 def test_components(spark, scratch):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, 200), (300, 100), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long"), scratch()).collect()}
