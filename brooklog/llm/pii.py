@@ -1,13 +1,15 @@
 """Personal data by bootstrapped contextual extraction, from column functions alone.
 
 Seeds are entities known by their form (e-mail and IP addresses, card and phone numbers). Every seed, and every other string with a
-digit, is an instance; the two words before it are a lexical pattern. Patterns and instances form a bipartite graph, scored in rounds: a
-pattern's score is the mean score of its different instances, an instance that is no seed gets the chance that any of its patterns is
-right (1 minus the product of 1 minus their scores). Patterns of high score, with enough different seeds, then discover identifiers of
-unknown form, which are added as spans of kind `context`.
-
-Per document only its spans and instances are written, not its text. Patterns with too few instances are dropped before the rounds, as
-they cannot reach the support that is asked for, and pairs are counted before they are joined, so common patterns cost a row for each
+digit, is an instance (strings without a digit are none); the two words before it, the two after it, and of each side the nearer one
+alone, are lexical patterns. Patterns and instances form a bipartite graph, scored in rounds: a pattern's score is the mean score of its
+different instances, an instance that is no seed gets the chance that any of its two-word patterns is right (1 minus the product of 1
+minus their scores; the nearer word alone is part of those, not further evidence). In that chance the instance itself counts as 0 in its
+patterns' means, so it gets no evidence from its own score, least of all by a pattern that it has alone. Patterns of high score, with enough different seeds,
+then discover identifiers of unknown form, which are added as spans of kind `context`.
+
+Per document only its spans and instances are written, not its text. All patterns take part in the rounds, however few instances they
+have; only those that are accepted need the support. Pairs are counted before they are joined, so common patterns cost a row for each
 different instance.
 
 Defined results: a null text counts as empty; every row gets a row, also one that repeats another or has a null id; an empty table gives
@@ -34,8 +36,10 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OTHER = r"(?<![A-Za-z0-9._@+-])(?=[A-Za-z._@+-]*+[0-9])[A-Za-z0-9@+][A-Za-z0-9._@+-]{4,}"
 KINDS = ["email", "ip", "card", "phone", "context"]
 ROUNDS, MIN_SEEDS, MIN_SCORE = 3, 3, 0.8
-#: Code points before an instance in which its two words are sought.
+#: Code points before and after an instance in which its two words are sought.
 CONTEXT = 60
+#: First characters of patterns: side, words.
+BEFORE, BEFORE_ONE, AFTER, AFTER_ONE = "<2 ", "<1 ", ">2 ", ">1 "
 
 
 def digits(value: Column) -> Column:
@@ -64,7 +68,7 @@ def valid(kind: str, x: Column) -> Column:
 
 
 def instances(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, text_key, base (spans by KINDS), occurrences (start, end, value, pattern, seed)."""
+    """id, text_key, base (spans by KINDS), occurrences (start, end, value, patterns, seed)."""
     df = docs.select(docs[id_column].alias("id"), text_of(docs, text_column).alias("text"))
     df = df.withColumn("digit", F.col("text").rlike("[0-9]"))
     patterns = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "other": OTHER}
@@ -77,8 +81,10 @@ def instances(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
     def occurrence(x: Column, seed: bool) -> Column:
         before = F.lower(F.right(F.substring(F.col("text"), F.lit(1), x["start"]), F.lit(CONTEXT)))
-        pattern = F.regexp_extract(before, r"((?:\S+\s+)?\S+)\s*$", 1)
-        return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lower(x["value"]).alias("value"), pattern.alias("pattern"), F.lit(seed).alias("seed"))
+        after = F.lower(F.substring(F.col("text"), x["end"] + 1, F.lit(CONTEXT)))
+        sides = [(BEFORE, before, r"((?:\S+\s+)?\S+)\s*$"), (BEFORE_ONE, before, r"(\S+)\s*$"), (AFTER, after, r"^\s*(\S+(?:\s+\S+)?)"), (AFTER_ONE, after, r"^\s*(\S+)")]
+        patterns = F.filter(F.array(*(F.concat(F.lit(k), F.regexp_extract(t, p, 1)) for k, t, p in sides)), lambda p: F.length(p) > len(BEFORE))
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lower(x["value"]).alias("value"), patterns.alias("patterns"), F.lit(seed).alias("seed"))
 
     found = F.concat(F.transform("seeds", lambda x: occurrence(x, True)), F.transform("other", lambda x: occurrence(x, False)))
     base = F.array_sort(F.concat(*(of_kind(F.col(k), n) for n, k in enumerate(KINDS[:4]))))
@@ -87,20 +93,20 @@ def instances(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 def confident_patterns(table: DataFrame, scratch: str, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_score: float = MIN_SCORE) -> DataFrame:
     """pattern, score: from the graph of patterns and instances."""
-    found = table.select(F.explode("occurrences").alias("x")).select("x.pattern", "x.value", "x.seed").where("pattern <> ''")
+    found = table.select(F.explode("occurrences").alias("x")).select(F.explode("x.patterns").alias("pattern"), "x.value", "x.seed")
     edges = written(found.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), f"{scratch}/edges")
-    wide = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_seeds).select("pattern")
-    edges = written(edges.join(wide, "pattern"), f"{scratch}/wide")
-    known = edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    seeds = written(known, f"{scratch}/scores0")
-    scores = seeds
+    known = edges.groupBy("value").agg(F.max("seed").alias("seed"))
+    seeds = written(known.select("value", "seed", F.col("seed").cast("double").alias("score")), f"{scratch}/scores0")
+    edges, lifting, scores = edges.select("pattern", "value"), F.substring("pattern", 1, len(BEFORE)).isin(BEFORE, AFTER), seeds
     for k in range(1, rounds + 1):
-        graph = edges.select("pattern", "value").join(scores, "value")
-        patterns = written(graph.groupBy("pattern").agg(F.avg("score").alias("score"), F.sum(F.floor("score")).alias("seeds")), f"{scratch}/patterns{k}")
+        graph = edges.join(scores, "value")
+        patterns = written(graph.groupBy("pattern").agg(F.avg("score").alias("score"), F.count(F.lit(1)).alias("n"), F.sum(F.col("seed").cast("long")).alias("seeds")), f"{scratch}/patterns{k}")
         if k == rounds:
             break
-        miss = edges.select("pattern", "value").join(patterns.select("pattern", "score"), "pattern").groupBy("value").agg(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))).alias("miss"))
-        scores = written(seeds.join(miss, "value").select("value", F.when(F.col("score") == 1, 1.0).otherwise(1 - F.exp("miss")).alias("score")), f"{scratch}/scores{k}")
+        evidence = F.col("of_pattern") - F.col("score") / F.col("n")
+        miss = graph.where(lifting & ~F.col("seed")).join(patterns.select("pattern", F.col("score").alias("of_pattern"), "n"), "pattern").groupBy("value").agg(F.sum(F.log(F.greatest(1 - evidence, F.lit(1e-9)))).alias("miss"))
+        lifted = F.when(F.col("seed"), 1.0).otherwise(1 - F.exp(F.coalesce("miss", F.lit(0.0))))
+        scores = written(seeds.drop("score").join(miss, "value", "left").select("value", "seed", lifted.alias("score")), f"{scratch}/scores{k}")
     return patterns.where((F.col("score") >= min_score) & (F.col("seeds") >= min_seeds)).select("pattern", "score")
 
 
@@ -108,7 +114,7 @@ def extract(docs: DataFrame, scratch: str, id_column: str = "doc_id", text_colum
     """id, base and added: spans (start, kind: an index of KINDS, end) in order."""
     table = written(instances(docs, id_column, text_column), f"{scratch}/instances")
     patterns = confident_patterns(table, scratch)
-    others = table.select("id", "text_key", F.explode(F.filter("occurrences", lambda x: ~x["seed"])).alias("x")).select("id", "text_key", "x.start", "x.end", "x.pattern")
+    others = table.select("id", "text_key", F.explode(F.filter("occurrences", lambda x: ~x["seed"])).alias("x")).select("id", "text_key", "x.start", "x.end", F.explode("x.patterns").alias("pattern"))
     kind = F.struct("start", F.lit(4).alias("kind"), "end")
     found = others.join(patterns, "pattern").groupBy("id", "text_key").agg(F.sort_array(F.collect_set(kind)).alias("found"))
     rows = table.select("id", "text_key", "base").join(found.withColumnsRenamed({"id": "found_id", "text_key": "found_key"}), F.col("id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key")), "left")

@@ -75,6 +75,25 @@ def test_patterns_discover_unknown_identifiers(spark, scratch):
     assert got[100] == [(16, 25)] and not got[101] and not got[102] and not got[0]
 
 
+def test_evidence_of_rare_patterns_counts(spark, scratch):
+    # six unknowns beside three seeds do not carry "known contact" by themselves; each also shares a pattern with one seed alone
+    rows = [(k, f"known contact seed{k}@mail.example.org a{k} b{k}") for k in range(3)]
+    rows += [(10 + k, f"known contact member{k}77 c{k} d{k}") for k in range(6)]
+    alone = rows + [(20 + k, f"e{k} f{k} member{k}77 g{k} h{k}") for k in range(6)]
+    shared = rows + [(20 + k, f"e{k} f{k} member{k}77 g{k} h{k}") for k in range(6)] + [(30 + k, f"e{k} f{k} other{k}@mail.example.org i{k} j{k}") for k in range(6)]
+    added = lambda rows: {r["id"] for r in extract(spark.createDataFrame(rows, "doc_id long, text string"), scratch()).collect() if r["added"]}
+    assert not added(alone)
+    assert added(shared) >= {10 + k for k in range(6)}
+
+
+def test_coarser_and_right_hand_patterns(spark, scratch):
+    rows = [(k, f"p{k} mailto user{k}@mail.example.org q{k} r{k}") for k in range(8)] + [(k, f"s{k} t{k} user{k}@mail.example.org wrote back") for k in range(20, 28)]
+    rows += [(k, f"u{k} v{k} user{k}@mail.example.org answered w{k}") for k in range(40, 48)]
+    rows += [(100, "xx mailto member77x yy zz"), (101, "xx yy member88x wrote back"), (102, "xx yy member99x answered zz"), (103, "xx yy member11x went home")]
+    got = {r["id"]: [(x["start"], x["end"]) for x in r["added"]] for r in extract(spark.createDataFrame(rows, "doc_id long, text string"), scratch()).collect()}
+    assert {d: x for d, x in got.items() if x} == {100: [(10, 19)], 101: [(6, 15)], 102: [(6, 15)]}
+
+
 LANGUAGES = {"aa": "kato miru sena talo vemi", "bb": "schtrong plüff krautz wendt", "cc": "ción ñandu llego querría"}
 
 
