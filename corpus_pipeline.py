@@ -6,7 +6,8 @@ the last, which returns the pieces of packed sequences. What stages decide:
 - language_id trains on the labels of its input and drops documents without a letter; a null lang gets the predicted one (`und` if
   there are no labels). No score is a reason to drop: that of a short clean text is of the size of the vectors' noise.
 - line_dedup drops lines that a document of smaller id has; documents that lose lines and have only white space left go.
-- near_duplicates (five-word shingles, similarity 0.8) keeps the document of smallest id of each component; rows without an id stay.
+- near_duplicates (five-word shingles, similarity 0.8) keeps one row of each component, that of the smallest id (null counts as the
+  largest); rows are judged one by one, whether or not their ids repeat.
 - decontamination drops documents with a passage within the edit budget of a benchmark item.
 - packing cuts and places the ids of every document that is left.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from brooklog.llm import decontaminate, language_id, line_dedup, ngram_join, packing
 from brooklog.llm.common import WHITE, remove, shared_dir, written
 
+NUMBER = "__row_number"
 #: The tokenizers and the trained profiles are outside SQL.
 ORACLE_SQL = None
 
@@ -38,10 +40,22 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return kept.select(*(F.when(changed, new[c].cast(docs.schema[c].dataType)).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
 
 
+def numbered(docs: DataFrame, path: str) -> DataFrame:
+    """With a number for each row, the same whenever it is read: by its place in a file (two files' rows share one with a chance of 2^-64), else written."""
+    if docs._jdf.queryExecution().analyzed().nodeName().startswith("LogicalRelation"):
+        return docs.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(NUMBER))
+    return written(docs.withColumn(NUMBER, F.monotonically_increasing_id()), path)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.NgramJoin(docs, shared_dir(spark, "near")).result()
-    gone = found.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    scratch = shared_dir(spark, "near")
+    rows = numbered(docs, f"{scratch}/numbered")
+    found = ngram_join.NgramJoin(rows, scratch, id_column=NUMBER).result().select("id", "component")
+    found = written(found.join(rows.select(F.col(NUMBER).alias("id"), "doc_id"), "id"), f"{scratch}/members")
+    # one number a component, so that nothing is joined by component, which a large group would fill
+    stay = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id")).alias("first")).select("first.id")
+    gone = found.join(stay, "id", "left_anti").select(F.col("id").alias(NUMBER))
+    return rows.join(gone, NUMBER, "left_anti").select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

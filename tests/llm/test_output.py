@@ -166,6 +166,17 @@ def test_language_stage_keeps_short_clean_texts(spark, tables, tmp_path):
     assert {(r["doc_id"], r["lang"]) for r in stage([(1, "some text", None), (2, "12", None)])} == {(1, "und")}
 
 
+@pytest.mark.parametrize("lazy", [False, True])
+def test_near_duplicates_with_repeated_and_null_ids(spark, tables, lazy):
+    text = lambda name: " ".join(f"{name}{k}" for k in range(60))
+    a, b, c, d, e = map(text, "abcde")
+    rows = [(5, a), (5, a), (None, b), (None, b), (None, b + " more"), (6, c), (6, d), (7, c + " more"), (8, e), (8, a + " more"), (None, a), (None, ""), (None, ""), (9, None)]
+    docs = spark.read.parquet(tables.documents(rows, 3) + "/documents.parquet")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs.where("true").limit(100) if lazy else docs, "").collect()
+    key = lambda rows: sorted(((str(r[0]), str(r[1])[:3]) for r in rows))
+    assert key(got) == key([(5, a), (None, b), (6, c), (6, d), (8, e), (None, ""), (None, ""), (9, None)])
+
+
 def test_pipeline_of_nothing(spark, tables):
     at = tables.documents([])
     tables.table("benchmark", [], "item_id long, text string")
