@@ -9,8 +9,10 @@ bands that reach the bound are verified by an alignment within the band. The fil
 The items are a stated query set: they are collected in blocks of at most block_chars characters in expectation, chosen by a hash, and
 each block is held against all documents. Documents are read in segments, so memory doesn't grow with a text.
 
-Defined results: null or empty texts leak nothing; items that are null or normalise to fewer than min_chars characters are not searched;
-for each row and item the nearest passage counts, on ties the first; rows that repeat are each judged; empty tables give no rows; other
+Items of fewer than min_chars characters, or than q, have no edits and are searched as whole words: at the starts of words, of exactly
+their characters up to the end of a word.
+
+Defined results: null or empty texts leak nothing; items that are null or have no letter or digit are not searched; for each row and item the nearest passage counts, on ties the first; rows that repeat are each judged; empty tables give no rows; other
 columns are ignored whatever their names.
 """
 
@@ -75,13 +77,20 @@ class Items:
     """The q-grams of a block of items, sorted by hash, with their items and places."""
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, share: float = BUDGET, min_chars: int = MIN_CHARS):
-        kept = [(i, p) for i, t in items if t and len(p := normalised(t)[0]) >= max(min_chars, q)]
-        if len(kept) >= 1 << 20 or any(len(p) >= 1 << 20 for _, p in kept):
+        every = [(i, p) for i, t in items if t and len(p := normalised(t)[0])]
+        kept, short = [x for x in every if len(x[1]) >= max(min_chars, q)], [x for x in every if len(x[1]) < max(min_chars, q)]
+        if len(every) >= 1 << 20 or any(len(p) >= 1 << 20 for _, p in kept):
             raise ValueError("a block holds fewer than 2**20 items of fewer than 2**20 characters")
         self.q, self.ids, self.points = q, [i for i, _ in kept], [p for _, p in kept]
         self.sizes = np.array([len(p) for p in self.points], np.int64)
         self.edits = np.array([budget(len(p), q, share) for p in self.points], np.int64)
         self.bounds = self.sizes + 1 - q * (self.edits + 1)
+        # short items are numbered after the others; by size: the hashes of their texts, and the numbers by text
+        self.all_ids, self.all_sizes = [i for i, _ in kept + short], [len(p) for _, p in kept + short]
+        texts: dict[int, dict[bytes, list[int]]] = {}
+        for k, (_, p) in enumerate(short, len(kept)):
+            texts.setdefault(len(p), {}).setdefault(p.tobytes(), []).append(k)
+        self.short = {m: (np.concatenate([grams(np.frombuffer(t, np.uint32), m) for t in found]), found) for m, found in texts.items()}
         hashes = [grams(p, q) for p in self.points]
         keys = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         order = np.argsort(keys, kind="stable")
@@ -115,12 +124,38 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, fixed: bool =
     return int(row[best]), best + low + len(item)
 
 
+def short_leaks(points: np.ndarray, items: Items) -> dict[int, tuple[int, int]]:
+    """By number of each short item that a normalised text has as whole words: the first place and its end."""
+    out: dict[int, tuple[int, int]] = {}
+    spaces = np.flatnonzero(points == 32)
+    starts, is_end = np.r_[0, spaces + 1], np.zeros(len(points) + 1, bool)
+    is_end[spaces] = is_end[len(points)] = True
+    for m, (keys, texts) in items.short.items():
+        at = starts[starts + m <= len(points)]
+        at = at[is_end[at + m]]
+        for k in range(0, len(at), SEGMENT):
+            part = at[k : k + SEGMENT]
+            hashes = np.zeros(len(part), np.uint64)
+            for j in range(m):
+                hashes *= BASE
+                hashes += points[part + j]
+            hashes ^= hashes >> np.uint64(29)
+            for place in part[np.isin(hashes * BASE, keys)].tolist():
+                for n in texts.get(points[place : place + m].tobytes(), ()):
+                    out.setdefault(n, (place, place + m))
+    return out
+
+
 def leaks(text: str, items: Items) -> list[tuple[int, int, int, int]]:
     """(number of the item, distance, start, end) for each item that the text leaks; code points of the text."""
     q, best = items.q, {}
-    if not len(items.keys):
+    if not len(items.keys) and not items.short:
         return []
     whole, places = normalised(text)
+    if items.short and len(whole):
+        best = {n: (0, int(places[a]), int(places[b - 1]) + 1) for n, (a, b) in short_leaks(whole, items).items()}
+    if not len(items.keys):
+        return [(k, *best[k]) for k in sorted(best)]
     overlap = int((items.sizes + 4 * items.edits).max()) + q
     for at in range(0, max(1, len(whole) - q + 1), SEGMENT):
         points = whole[at : at + SEGMENT + overlap]
@@ -168,7 +203,7 @@ def _search(batches: Iterator[pa.RecordBatch], items: Broadcast) -> Iterator[pa.
         for k, text in enumerate(batch.column("text").to_pylist()):
             for n, distance, start, end in leaks(text, block) if text else ():
                 which.append(k)
-                out.append((block.ids[n], distance, int(block.sizes[n]), start, end))
+                out.append((block.all_ids[n], distance, block.all_sizes[n], start, end))
         columns = zip(*out, strict=True) if out else [[]] * 5
         yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(which, pa.int32())), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=names)
 

@@ -170,6 +170,20 @@ def test_leaks_equal_full_alignment(monkeypatch, seed, segment):
             assert got.get(k) == (d if d <= items.edits[k] else None)
 
 
+@pytest.mark.parametrize("segment", [1 << 20, 3])
+def test_short_items_leak_as_whole_words(monkeypatch, segment):
+    monkeypatch.setattr(decontaminate, "SEGMENT", segment)
+    long = "what is the name of the largest river in the north"
+    items = decontaminate.Items([(1, "Who was he?"), (2, "2+2=4"), (3, "?!"), (4, "été"), (5, "who was HE"), (6, long)])
+    found = lambda text: {(items.all_ids[k], d, text[a:b]) for k, d, a, b in decontaminate.leaks(text, items)}
+    assert found("so: who  was he! who was he") == {(1, 0, "who  was he"), (5, 0, "who  was he")}
+    assert not any(map(found, ["who was her, xwho was he2", "12 2 4 or 2 2 45", "", "?!"]))
+    assert found("ÉTÉ 2 2 4") == {(2, 0, "2 2 4"), (4, 0, "ÉTÉ")}
+    assert found(long + ", été") == {(4, 0, "été"), (6, 0, long)}
+    only = decontaminate.Items([(1, "Who was he?")])
+    assert [only.all_ids[k] for k, *_ in decontaminate.leaks("he asked who was he", only)] == [1]
+
+
 def test_leaks_of_a_table(spark):
     item = "What is the name of the largest river in the north of the country?"
     docs = spark.createDataFrame([(1, f"Quiz. {item.upper()} Answer: none", "x"), (2, "nothing here", "y"), (3, None, "z"), (3, "", None), (None, item.replace("largest", "longest"), "w")], "doc_id long, text string, item_id string")
