@@ -43,7 +43,7 @@ def corpus(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_queries_equal_plain_versions(spark, tables, seed):
     rows = corpus(seed)
     at = tables.documents(rows, 3)
@@ -153,6 +153,22 @@ def test_chain_of_near_copies_and_a_large_group(spark, scratch):
         assert got == brute.near(rows, words, percent)
 
 
+@pytest.mark.parametrize("seed", [2, 5])
+def test_large_buckets_that_are_not_linked_to_their_leader(spark, scratch, seed):
+    rng = random.Random(seed)
+    phrase, rows = [f"p{k}" for k in range(12)], []
+    for group in range(2):  # near copies; the phrase that some of both groups have is rarer than the words of a group, so it is in their prefixes
+        base = [f"g{group}x{k}" for k in range(100)]
+        for d in range(70):
+            copy = list(base)
+            copy[rng.randrange(100)] = f"y{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy + phrase * (d < 24))))
+    rng.shuffle(rows)
+    df, root = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), scratch()
+    assert {r["id"]: (r["n_shingles"], r["component"]) for r in NgramJoin(df, root, 3, 90).result().collect()} == brute.near(rows, 3, 90)
+    assert spark.read.parquet(f"{root}/large").count()
+
+
 def linked(rows, k, percent):
     """All links between texts of different shingles, by the smallest ids that have them."""
     first = {}
