@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ WHITE = " \t\n\x0b\x0c\r"
 LAST_ID = 2**63 - 1
 #: Keys with more than a 1/HOT_PARTS share of the rows are dealt over several tasks, so there are fewer than HOT_PARTS of them.
 HOT_PARTS = 1000
+#: Rows and bytes of an Arrow batch at most (a single longer row is a batch of its own), so what a Python worker holds of its input is bounded.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -27,12 +30,34 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/brooklog/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's limits on Arrow batches to BATCH_ROWS and BATCH_BYTES."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key, None)
+        if not now or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def make_folder(spark: SparkSession, folder: str) -> str:
+    """Makes the folder; its URI, for tasks that open files there with pyarrow.fs."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(at)
+    return store.makeQualified(at).toString()
+
+
+def attempt() -> str:
+    """For names of files: another one for each task attempt, so only those count that a successful attempt returns."""
+    task = TaskContext.get()
+    return f"{task.stageId()}-{task.partitionId()}-{task.taskAttemptId()}"
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner delete the shuffle files of DataFrames that nothing refers to any more."""
     gc.collect()

@@ -3,17 +3,23 @@
 Documents with equal shingle sets are one class, so copies cost one row each. Shingles are ordered by a count of their documents, rarest
 first, and then by their hash; a class enters the index with its prefix only. The counts come from all documents and are kept in a table
 of fixed size (SKETCH counters, hashed), which is what makes its broadcast bounded; a shared counter only makes the order less sharp, as
-any fixed order gives the same links. A pair that shares a prefix shingle must pass the length filter, the positional filter at its
-first shared shingle, and the suffix filter (numbers of shingles in eight fixed ranges of the hash, which bound the Hamming distance)
-before its texts are compared.
-
-pairs() gives every link between classes. result() wants them for components only, so pairs known to be connected are not compared. First every class of a bucket (the classes that share
-a prefix shingle) is compared with the bucket's leader only, its most central class; then those that stayed outside the leader's
-component with the most central of them; last, what is still outside with all others of the bucket in another component. No bucket is
-capped, and in result() none emits all its pairs when its classes are copies of a text in it.
-
-Defined results: null or empty texts, and rows with a null id, are linked with nothing; rows that share an id are one document; an empty
-table gives no rows; other columns are ignored whatever their names.
+any fixed order gives the same links.
+
+The index is dealt by prefix shingle and sorted by set size; a class stays in the bucket of a shingle only if a neighbour there passes
+the length filter. Then each class has the list of the shared shingles of its prefix, and its row in a bucket knows those that come
+before. A pair is a candidate in the bucket of its first common prefix shingle and in no other, so every pair is judged once: by the
+positional filter at that shingle, and by the suffix filter (numbers of shingles in RANGES fixed parts of the hash's values, modulo 16,
+which bound the number of shingles in one set only). Candidates are never rows: a task finds them within a bucket, and names the classes
+that are in any. Only these get their texts, once for each bucket, and the same candidates are then verified by comparing the words of
+their shingles. Buckets of more than CELL classes are dealt over pairs of cells, so a task holds the texts of two cells.
+
+result() gives each document its component and its number of links; for that a task returns, of the pairs it verified, each class's
+number of linked documents and a forest of links, so rows don't grow with the square of a group. pairs() returns all links between
+classes, as pairs of the documents that stand for them. The work on a group of n near copies does grow with n * n, as its links do.
+
+Defined results: null or empty texts, and rows with a null id, are linked with nothing; rows that share an id count as one document in
+components and have its links; an empty table gives no rows; other columns are ignored whatever their names. Two sets count as equal if their 64-bit
+shingle hashes have the same 128-bit digest.
 """
 
 from __future__ import annotations
@@ -30,23 +36,21 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklog.llm.common import hot_cells, release, salted_join, shared_dir, written
+from brooklog.llm.common import bounded_batches, hot_cells, release, remove, salted_join, shared_dir, written
 from brooklog.llm.components import components
-from brooklog.llm.words import shingles
+from brooklog.llm.words import shingles, words_of
 
 WORDS, PERCENT = 5, 80
 SKETCH, CHUNKS = 1 << 20, 64
-#: Classes of which a task remembers that it has indexed them; a repeat is dropped by the grouping that follows anyhow.
-SEEN = 200_000
-#: Rounds in which classes are compared with a leader only; then the rest are compared with each other.
-ROUNDS = 2
-#: Classes in a bucket from which on it gets the sharper filters in the last comparison, which cost a look at its texts.
-LARGE = 32
-#: Parts of the hash's values in the suffix filter of the last comparison; in the index, which has a row a shingle, there are eight.
+#: Classes of which a task remembers that it has indexed them; a repeat is dropped in its bucket anyhow.
+SEEN = 50_000
+#: Parts of the hash's values in the suffix filter.
 RANGES = 128
-#: Classes of a bucket in a cell of pairs(), which holds those of one cell against those of another.
-CELL = 256
+#: Classes of a bucket in a cell.
+CELL = 128
 CLASS = ["c1", "c2"]
+KEY = ["token", "low", "high"]
+MEMBER = "token long, low int, high int, own int, c1 long, c2 long, n int, pos int, signature binary, prior array<long>, size long, rep long"
 
 
 def least_overlap(n, percent: int):
@@ -63,21 +67,29 @@ def _counter(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """Numbers of tokens in RANGES equal parts of the hash's values, modulo 16, two in a byte."""
+    counts = np.bincount((tokens >> np.uint64(65 - RANGES.bit_length())).astype(np.int64), minlength=RANGES) & 15
+    return (counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
+
+
 def _classes(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """A row for each document; and rows with the task's counts, in chunks (n is the chunk)."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("counts", pa.binary())])
-    counts = np.zeros(SKETCH, np.int64)
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("bytes", pa.binary()), ("counts", pa.bool_())])
+    counts = np.zeros(SKETCH, np.int32)
     for batch in batches:
         rows = []
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             tokens = shingles(text, words)
             np.add.at(counts, _counter(tokens), 1)
-            rows.append((i, len(tokens), *(class_of(tokens) if i is not None and len(tokens) else (None, None))))
+            named = i is not None and len(tokens)
+            rows.append((i, len(tokens), *(class_of(tokens) if named else (None, None)), signature(tokens) if named else None, False))
         if rows:
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in zip(*rows, strict=True)), pa.nulls(len(rows), pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
     if counts.any():
         none = pa.nulls(CHUNKS, pa.int64())
-        yield pa.RecordBatch.from_arrays([none, pa.array(range(CHUNKS), pa.int64()), none, none, pa.array([zlib.compress(x.astype("<i4").tobytes(), 1) for x in np.split(counts, CHUNKS)], pa.binary())], schema=schema)
+        packed = pa.array([zlib.compress(x.astype("<i4").tobytes(), 1) for x in np.split(counts, CHUNKS)], pa.binary())
+        yield pa.RecordBatch.from_arrays([none, pa.array(range(CHUNKS), pa.int64()), none, none, packed, pa.array([True] * CHUNKS)], schema=schema)
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,15 +101,10 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"chunk": [chunk], "counts": [np.minimum(total, 2**31 - 1).astype("<i4").tobytes()]})
 
 
-def _signature(tokens: np.ndarray) -> int:
-    """Eight numbers of tokens, at most 255 each, by the three highest bits."""
-    counts = np.minimum(np.bincount((tokens >> np.uint64(61)).astype(np.int64), minlength=8), 255).astype(np.uint8)
-    return int(counts.view("<i8")[0])
-
-
 def _index(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch: Broadcast) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of a class's prefix."""
     counts, seen = np.frombuffer(sketch.value, "<i4"), OrderedDict()
-    names = ["token", "c1", "c2", "n", "pos", "signature"]
+    names, kinds = ["token", "c1", "c2", "n", "pos"], [np.int64, np.int64, np.int64, np.int32, np.int32]
     for batch in batches:
         parts: list[list[np.ndarray]] = [[] for _ in names]
         for text in batch.column(0).to_pylist():
@@ -109,224 +116,248 @@ def _index(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch:
                 seen.popitem(last=False)
             size = len(tokens) - least_overlap(len(tokens), percent) + 1
             prefix = tokens[np.lexsort((tokens, counts[_counter(tokens)]))[:size]].view(np.int64)
-            for part, value in zip(parts, (prefix, c[0], c[1], len(tokens), np.arange(size), _signature(tokens)), strict=True):
-                part.append(np.broadcast_to(np.asarray(value, np.int64), size))
+            for part, value, kind in zip(parts, (prefix, c[0], c[1], len(tokens), np.arange(size)), kinds, strict=True):
+                part.append(np.broadcast_to(np.asarray(value, kind), size))
         if parts[0]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], names=names)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        pairs = [class_of(shingles(t, words)) for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()), batch.column(0)], names=["c1", "c2", "text"])
-
-
-def _tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+def _neighbours(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by token, n, class: each class once in a bucket, if the next smaller or larger one there passes the length filter."""
+    held = None  # the last row so far, and whether the one before it is near
     for batch in batches:
-        for c1, c2, text in zip(*(batch.column(c).to_pylist() for c in ("c1", "c2", "text")), strict=True):
-            tokens = shingles(text, words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(np.full(len(tokens), c1)), pa.array(np.full(len(tokens), c2))], names=["token", "c1", "c2"])
-
-
-def _ranges(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Numbers of tokens in RANGES equal parts of the hash's values."""
-    shift = np.uint64(64 - RANGES.bit_length() + 1)
+        if not batch.num_rows:
+            continue
+        if held:
+            batch = pa.Table.from_batches([held[0], batch]).combine_chunks().to_batches()[0]
+        token, c1, c2, n = (batch.column(c).to_numpy() for c in ("token", "c1", "c2", "n"))
+        new = np.r_[True, (token[1:] != token[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])]
+        if not new.all():
+            batch = batch.filter(pa.array(new))
+            token, n = token[new], n[new]
+        n = n.astype(np.int64)
+        near = (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])
+        before = np.r_[held[1] if held else False, near]
+        keep = before[:-1] | near
+        yield batch.slice(0, len(n) - 1).filter(pa.array(keep))
+        held = batch.slice(len(n) - 1), bool(before[-1])
+    if held and held[1]:
+        yield held[0]
+
+
+class Cell:
+    """The members of a bucket that stand against each other, and their candidate pairs."""
+
+    def __init__(self, rows: dict[str, list], percent: int):
+        once = {c: k for k, c in enumerate(zip(rows["c1"], rows["c2"], strict=True))}  # a class's text comes more than once where rows share an id
+        self.rows, self.percent = {c: [v[k] for k in once.values()] for c, v in rows.items()} if len(once) < len(rows["n"]) else rows, percent
+
+    def candidates(self) -> list[tuple[int, int]]:
+        """Places of members whose first common prefix shingle is this bucket's and that pass the length, positional and suffix filters."""
+        rows, percent = self.rows, self.percent
+        n, pos, own = (np.array(rows[c], np.int64) for c in ("n", "pos", "own"))
+        allowed = np.triu(np.ones((len(n), len(n)), bool), 1) if rows["low"][0] == rows["high"][0] else (own[:, None] == rows["low"][0]) & (own == rows["high"][0])
+        overlap = -(-percent * (n[:, None] + n) // (100 + percent))
+        allowed &= 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
+        allowed &= np.minimum((n - pos)[:, None], n - pos) >= overlap
+        a, b = np.nonzero(allowed)
+        if not len(a):
+            return []
+        packed = np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(len(n), -1)
+        numbers = np.concatenate([packed & 15, packed >> 4], axis=1)
+        out, before = [], {}
+        for k in range(0, len(a), 1 << 12):
+            x, y = a[k : k + (1 << 12)], b[k : k + (1 << 12)]
+            apart = (numbers[x] - numbers[y]) & 15
+            good = n[x] + n[y] - np.minimum(apart, 16 - apart).sum(axis=1) >= 2 * overlap[x, y]
+            for i, j in zip(x[good].tolist(), y[good].tolist(), strict=True):
+                for p in (i, j):
+                    if p not in before:
+                        before[p] = frozenset(rows["prior"][p])
+                if before[i].isdisjoint(before[j]):
+                    out.append((i, j))
+        return out
+
+    def links(self, words: int) -> list[tuple[int, int]]:
+        """The candidates that link, by the words of their shingles; members whose text is of another class are in none."""
+        numbers: dict[tuple, int] = {}
+        sets: dict[int, np.ndarray] = {}
+
+        def numbered(k: int) -> np.ndarray:
+            if k not in sets:
+                ws = words_of(self.rows["text"][k], lower=True)
+                size = min(words, len(ws))
+                own = set(zip(*(ws[i : len(ws) - size + 1 + i] for i in range(size)), strict=True)) if size else set()
+                sets[k] = np.fromiter((numbers.setdefault(x, len(numbers)) for x in own), np.int64, len(own))
+            return sets[k]
+
+        out, marks, marked = [], np.zeros(0, bool), None
+        for i, j in self.candidates():
+            a, b = numbered(i), numbered(j)
+            if marked != i or len(marks) < len(numbers):
+                marks = np.zeros(len(numbers), bool)
+                marks[a] = True
+                marked = i
+            both = int(marks[b].sum())
+            if 100 * both >= self.percent * (len(a) + len(b) - both):
+                out.append((i, j))
+        return out
+
+
+def _cells(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[Cell]:
+    """From rows sorted by KEY: one cell after the other."""
+    held: dict[str, list] | None = None
     for batch in batches:
-        counts = [np.bincount((shingles(t, words) >> shift).astype(np.int64), minlength=RANGES).clip(max=32767).astype(np.int16) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("c1"), batch.column("c2"), pa.array(counts, pa.list_(pa.int16()))], names=["c1", "c2", "ranges"])
-
-
-def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    sets: OrderedDict[tuple, np.ndarray] = OrderedDict()
-
-    def tokens(key: tuple, text: str) -> np.ndarray:
-        if key not in sets:
-            sets[key] = shingles(text, words)
-            if len(sets) > 32:
-                sets.popitem(last=False)
-        sets.move_to_end(key)
-        return sets[key]
-
-    for batch in batches:
-        keep = []
-        for a1, a2, b1, b2, a, b in zip(*(batch.column(c).to_pylist() for c in ("a1", "a2", "b1", "b2", "a_text", "b_text")), strict=True):
-            x, y = tokens((a1, a2), a), tokens((b1, b2), b)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= percent * (len(x) + len(y) - both))
-        yield batch.select(["a1", "a2", "b1", "b2"]).filter(pa.array(keep))
-
-
-def _suffixes_differ():
-    """At least how many shingles of two classes are in one only."""
-    byte = lambda c, k: F.shiftrightunsigned(c, 8 * k).bitwiseAND(F.lit(255))
-    return sum((F.abs(byte("a_signature", k) - byte("b_signature", k)) for k in range(1, 8)), F.abs(byte("a_signature", 0) - byte("b_signature", 0)))
-
-
-def _candidates(shared: DataFrame, percent: int) -> DataFrame:
-    """Pairs, once each, that may link: shared has a row for each prefix token of a pair."""
-    shared = shared.where(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
-    first = shared.groupBy("a1", "a2", "b1", "b2").agg(F.min(F.struct("a_pos", "b_pos")).alias("at"), *(F.first(c).alias(c) for c in ("a_n", "b_n", "a_signature", "b_signature")))
-    overlap = _overlap(F.col("a_n"), F.col("b_n"), percent)
-    first = first.where(1 + F.least(F.col("a_n") - F.col("at.a_pos"), F.col("b_n") - F.col("at.b_pos")) - 1 >= overlap)
-    return first.where((F.col("a_n") + F.col("b_n") - _suffixes_differ()) / 2 >= overlap).select("a1", "a2", "b1", "b2")
-
-
-def _overlap(a, b, percent: int):
-    """The least overlap of linked sets of sizes a and b."""
-    return F.ceil(F.lit(percent) * (a + b) / F.lit(100.0 + percent))
-
-
-def _may_link(percent: int):
-    """The length filter, the positional filter for any shared shingle (as many before it as both have, and it, and as many after it as both have), and the suffix filter."""
-    overlap = _overlap(F.col("a_n"), F.col("b_n"), percent)
-    shared = F.least("a_pos", "b_pos") + 1 + F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) - 1
-    return F.expr(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)") & (shared >= overlap) & ((F.col("a_n") + F.col("b_n") - _suffixes_differ()) / 2 >= overlap)
-
-
-def _ranges_allow(percent: int):
-    apart = F.aggregate(F.zip_with("a_ranges", "b_ranges", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda acc, x: acc + x)
-    return F.col("a_n") + F.col("b_n") - apart >= 2 * _overlap(F.col("a_n"), F.col("b_n"), percent)
-
-
-def _rank():
-    return F.struct("away", "n", *CLASS)
-
-
-def _side(df: DataFrame, side: str, *more: str) -> list:
-    return [F.col("c1").alias(f"{side}1"), F.col("c2").alias(f"{side}2"), F.col("n").alias(f"{side}_n"), F.col("pos").alias(f"{side}_pos"), F.col("signature").alias(f"{side}_signature"), *more]
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(c).to_numpy() for c in KEY]
+        starts = np.flatnonzero(np.r_[True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])
+        ends = np.r_[starts[1:], batch.num_rows]
+        rows = {f.name: batch.column(f.name).to_pylist() for f in batch.schema}
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+            part = {c: v[a:b] for c, v in rows.items()}
+            if held and all(held[c][0] == part[c][0] for c in KEY):
+                for c, v in part.items():
+                    held[c] += v
+                continue
+            if held and len(held["n"]) > 1:
+                yield Cell(held, percent)
+            held = part
+    if held and len(held["n"]) > 1:
+        yield Cell(held, percent)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
+
+
+def _partnered(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The members that are in a candidate pair of their cell."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    schema = pa.schema([(c, kinds[t]) for c, t in (x.split() for x in MEMBER.split(", "))])
+    out: list[tuple] = []
+    for cell in _cells(batches, percent):
+        for k in sorted({k for pair in cell.candidates() for k in pair}):
+            out.append(tuple(cell.rows[f.name][k] for f in schema))
+        if len(out) >= 2000:
+            yield _batch(out, schema)
+            out = []
+    if out:
+        yield _batch(out, schema)
+
+
+FOUND = "rep long, other long, links long"
+
+
+def _verified(batches: Iterator[pa.RecordBatch], words: int, percent: int, every: bool) -> Iterator[pa.RecordBatch]:
+    """every: all links, by their documents. Else a forest of them, and (other null) for each document the number of documents that its class is linked with."""
+    schema = pa.schema([(x.split()[0], pa.int64()) for x in FOUND.split(", ")])
+    out: list[tuple] = []
+
+    def same_class(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: OrderedDict[str, tuple] = OrderedDict()
+        for batch in part:
+            good = []
+            for text, *c in zip(*(batch.column(x).to_pylist() for x in ("text", *CLASS)), strict=True):
+                if text not in known:
+                    known[text] = class_of(shingles(text, words))
+                    if len(known) > 16:
+                        known.popitem(last=False)
+                good.append(known[text] == tuple(c))
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    for cell in _cells(same_class(batches), percent):
+        reps, sizes = cell.rows["rep"], cell.rows["size"]
+        root, linked = list(range(len(reps))), {}
+
+        def top(k: int) -> int:
+            while root[k] != k:
+                root[k] = k = root[root[k]]
+            return k
+
+        for i, j in cell.links(words):
+            if every:
+                out.append((min(reps[i], reps[j]), max(reps[i], reps[j]), None))
+                continue
+            linked[i], linked[j] = linked.get(i, 0) + sizes[j], linked.get(j, 0) + sizes[i]
+            x, y = top(i), top(j)
+            if x != y:
+                root[x] = y
+                out.append((reps[i], reps[j], None))
+        out += [(reps[k], None, v) for k, v in linked.items()]
+        if len(out) >= 2000:
+            yield _batch(out, schema)
+            out = []
+    if out:
+        yield _batch(out, schema)
 
 
 class NgramJoin:
     def __init__(self, docs: DataFrame, scratch: str, words: int = WORDS, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text"):
         self.spark, self.scratch, self.words, self.percent = docs.sparkSession, scratch, words, percent
         self.docs = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"))
-        self.classes = self.firsts = self.index = None
-
-    def _texts_of(self, classes: DataFrame, name: str) -> DataFrame:
-        """c1, c2, text: a text of each class, written."""
-        wanted = classes.join(self.firsts, CLASS).select(F.col("rep").alias("id")).distinct()
-        texts = self.docs.where("id IS NOT NULL AND text IS NOT NULL").join(wanted, "id", "left_semi").select("text")
-        return written(texts.mapInArrow(partial(_texts, words=self.words), "c1 long, c2 long, text string").dropDuplicates(CLASS), f"{self.scratch}/{name}-texts")
-
-    def _linked(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Those of the pairs of classes whose texts link, as pairs (u, v) of documents that stand for them."""
-        pairs = written(pairs, f"{self.scratch}/{name}-pairs")
-        texts = self._texts_of(pairs.select(F.col("a1").alias("c1"), F.col("a2").alias("c2")).union(pairs.select("b1", "b2")).distinct(), name)
-        sides = [texts.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), F.col("text").alias(f"{s}_text")) for s in "ab"]
-        whole = pairs.join(sides[0], ["a1", "a2"]).join(sides[1], ["b1", "b2"])
-        good = whole.mapInArrow(partial(_verify, words=self.words, percent=self.percent), "a1 long, a2 long, b1 long, b2 long")
-        reps = [self.firsts.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), F.col("rep").alias(r)) for s, r in (("a", "u"), ("b", "v"))]
-        return written(good.join(reps[0], ["a1", "a2"]).join(reps[1], ["b1", "b2"]).select("u", "v"), f"{self.scratch}/{name}-links")
-
-    def _without_hopeless(self, placed: DataFrame, texts: DataFrame) -> DataFrame:
-        """With most: how many of a class's shingles are in another class of placed at all. Classes that could not reach the overlap even with the smallest set of their bucket go, so near copies that are too far from each other are not paired."""
-        tokens = texts.mapInArrow(partial(_tokens, words=self.words), "token long, c1 long, c2 long")
-        alone = tokens.groupBy("token").agg(F.min(F.struct(*CLASS)).alias("low"), F.max(F.struct(*CLASS)).alias("high")).where("low = high")
-        alone = written(alone.groupBy(F.col("low.c1").alias("c1"), F.col("low.c2").alias("c2")).agg(F.count(F.lit(1)).alias("alone")), f"{self.scratch}/alone")
-        placed = placed.join(alone, CLASS, "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
-        least = placed.groupBy("token").agg(F.min("n").alias("least_n"))
-        smallest = F.greatest("least_n", F.ceil(F.lit(self.percent / 100 - 1e-9) * F.col("n")))
-        placed = placed.join(least, "token").where(F.col("most") >= _overlap(F.col("n"), smallest, self.percent))
-        ranges = texts.mapInArrow(partial(_ranges, words=self.words), "c1 long, c2 long, ranges array<short>")
-        return written(placed.join(ranges, CLASS), f"{self.scratch}/hopeful")
-
-    @staticmethod
-    def _across(placed: DataFrame, may_link, more: list[str] | None = None) -> DataFrame:
-        """A row for each prefix token that two classes of different components share, one of them outside the leader's component."""
-        side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in more or []]
-        minor = placed.where("minor").select("token", *_side(placed, "a", "component", *side("a")))
-        others = placed.select("token", *_side(placed, "b", F.col("component").alias("other"), F.col("minor").alias("b_minor"), *side("b")))
-        differ = F.expr("component <> other AND (NOT b_minor OR (a1, a2) < (b1, b2))")
-        shared = [f"{s}{c}" for s in "ab" for c in ("1", "2", "_n", "_pos", "_signature")]
-        return minor.join(others, (minor["token"] == others["token"]) & differ & may_link).select(*shared)
-
-    @staticmethod
-    def _within(placed: DataFrame, may_link, more: list[str] | None = None) -> DataFrame:
-        """A row for each prefix token that two classes share, each pair in one order. Buckets are dealt over pairs of cells, so no task holds a large one against itself."""
-        side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in more or []]
-        sizes = placed.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells"))
-        placed = placed.join(sizes, "token").withColumn("own", F.pmod(F.xxhash64(*CLASS), F.col("cells")).cast("int"))
-        each = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
-        a = placed.select("token", F.col("own").alias("a_cell"), each.alias("b_cell"), *_side(placed, "a", *side("a")))
-        b = placed.select("token", each.alias("a_cell"), F.col("own").alias("b_cell"), *_side(placed, "b", *side("b")))
-        keys = [a[c] == b[c] for c in ("token", "a_cell", "b_cell")]
-        shared = [f"{s}{c}" for s in "ab" for c in ("1", "2", "_n", "_pos", "_signature")]
-        return a.join(b, [*keys, F.expr("(a1, a2) < (b1, b2)") & may_link]).select(*shared)
+        self.classes = self.firsts = self.members = None
+        bounded_batches(self.spark)
 
     def _prepare(self) -> None:
-        """classes (a row a document), firsts (a row a class) and index (a row a prefix shingle that several classes have)."""
-        if self.index is not None:
+        """classes (a row a document), firsts (a row a class) and members (a row for each class with its text in a cell where it has a candidate)."""
+        if self.members is not None:
             return
         spark, scratch, words, percent = self.spark, self.scratch, self.words, self.percent
-        both = written(self.docs.mapInArrow(partial(_classes, words=words), "id long, n long, c1 long, c2 long, counts binary"), f"{scratch}/classes")
-        self.classes = classes = both.where("counts IS NULL").drop("counts")
-        counts = both.where("counts IS NOT NULL").select("n", "counts").repartition(CHUNKS, "n").mapInArrow(_added, "chunk long, counts binary").collect()  # CHUNKS rows, SKETCH counters
-        counters = b"".join(r["counts"] for r in sorted(counts, key=lambda r: r["chunk"])) or bytes(4 * SKETCH)
-        sketch = spark.sparkContext.broadcast(counters)
-        grouped = classes.where("c1 IS NOT NULL").groupBy(*CLASS).agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("rep"))
-        self.firsts = written(grouped, f"{scratch}/firsts")
-
-        entries = self.docs.where("id IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(partial(_index, words=words, percent=percent, sketch=sketch), "token long, c1 long, c2 long, n long, pos long, signature long")
-        entries = written(entries, f"{scratch}/entries")
-        ends = entries.groupBy("token").agg(F.min(F.struct(*CLASS)).alias("low"), F.max(F.struct(*CLASS)).alias("high")).where("low <> high").select("token")
-        ends = written(ends, f"{scratch}/tokens")
-        # only shingles of several classes stay; the same class may have been indexed by several tasks
-        index = written(entries.join(ends, "token").dropDuplicates(["token", *CLASS]), f"{scratch}/shared")
+        both = written(self.docs.mapInArrow(partial(_classes, words=words), "id long, n long, c1 long, c2 long, bytes binary, counts boolean"), f"{scratch}/classes")
+        self.classes = both.where("NOT counts").select("id", "n", *CLASS)
+        counts = both.where("counts").select("n", "bytes").repartition(CHUNKS, "n").mapInArrow(_added, "chunk long, counts binary").collect()  # CHUNKS rows, SKETCH counters
+        sketch = spark.sparkContext.broadcast(b"".join(r["counts"] for r in sorted(counts, key=lambda r: r["chunk"])) or bytes(4 * SKETCH))
+        grouped = both.where("NOT counts AND c1 IS NOT NULL").groupBy(*CLASS)
+        self.firsts = written(grouped.agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("rep"), F.first("bytes").alias("signature")), f"{scratch}/firsts")
+
+        texts = self.docs.where("id IS NOT NULL AND text IS NOT NULL")
+        entries = texts.select("text").mapInArrow(partial(_index, words=words, percent=percent, sketch=sketch), "token long, c1 long, c2 long, n int, pos int")
+        near = entries.repartition("token").sortWithinPartitions("token", "n", *CLASS).mapInArrow(partial(_neighbours, percent=percent), entries.schema)
+        near = written(near, f"{scratch}/near")
         sketch.unpersist()
-        # a text that others are copies of shares most of its prefix, as it has no words of its own
-        central = index.groupBy(*CLASS).agg((-F.count(F.lit(1)) / F.first(F.col("n") - F.ceil(F.lit(percent / 100) * F.col("n")) + 1)).alias("away"))
-        self.index = written(index.join(central, CLASS), f"{scratch}/index")
+
+        # the shared shingles of each class's prefix, in order; a row in a bucket knows those before its own
+        shared = near.groupBy(*CLASS).agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("shared"))
+        rows = shared.join(self.firsts, CLASS).select(*CLASS, "n", "signature", "size", "rep", F.col("shared.token").alias("tokens"), F.posexplode("shared").alias("k", "x"))
+        large = near.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells")).where("cells > 1")
+        rows = rows.withColumn("token", F.col("x.token")).join(large, "token", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+        rows = rows.withColumn("own", F.pmod(F.xxhash64(*CLASS), F.col("cells")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        rows = rows.select("token", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", *CLASS, "n", F.col("x.pos").alias("pos"), "signature", F.expr("slice(tokens, 1, k)").alias("prior"), "size", "rep")
+        members = rows.repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(partial(_partnered, percent=percent), MEMBER)
+        members = written(members, f"{scratch}/members")
+        remove(spark, f"{scratch}/near")
+        wanted = texts.join(members.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+        self.members = written(members.join(wanted, F.col("rep") == F.col("id")).drop("id"), f"{scratch}/texts")
+        remove(spark, f"{scratch}/members")
+
+    def _judged(self, every: bool) -> DataFrame:
+        self._prepare()
+        cells = self.members.repartition(*KEY).sortWithinPartitions(*KEY)
+        return cells.mapInArrow(partial(_verified, words=self.words, percent=self.percent, every=every), FOUND)
 
     def pairs(self) -> DataFrame:
         """All links between classes, once each: u < v, the documents that stand for them (smallest id with the same shingles)."""
-        self._prepare()
-        index, scratch, percent = self.index, self.scratch, self.percent
-        large = written(index.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE).select("token"), f"{scratch}/all-large")
-        pairs = self._within(index.join(large, "token", "left_anti"), _may_link(percent))
-        among = written(index.join(large, "token"), f"{scratch}/all-among")
-        among = self._without_hopeless(among, self._texts_of(among.select(*CLASS).distinct(), "all-among"))
-        bound = F.least("a_most", "b_most") >= _overlap(F.col("a_n"), F.col("b_n"), percent)
-        pairs = pairs.unionByName(self._within(among, bound & _may_link(percent) & _ranges_allow(percent), ["most", "ranges"]))
-        return self._linked(_candidates(pairs, percent), "all").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+        return self._judged(every=True).select(F.col("rep").alias("u"), F.col("other").alias("v"))
 
     def result(self) -> DataFrame:
-        """A row for each document: id, n_shingles, component, class_rep (smallest id with the same shingles)."""
-        self._prepare()
-        spark, scratch, percent, classes, index = self.spark, self.scratch, self.percent, self.classes, self.index
-        links, reached = None, self.firsts.select(*CLASS, F.col("rep").alias("component"))
-        for k in range(ROUNDS + 1):
-            placed = index.join(reached, CLASS)
-            tops = placed.groupBy("token").agg(F.min_by("component", _rank()).alias("top"), F.count_distinct("component").alias("several")).where("several > 1").select("token", "top")
-            placed = written(placed.join(tops, "token").withColumn("minor", F.col("component") != F.col("top")), f"{scratch}/placed{k}")
-            if k < ROUNDS:
-                # in the first round a bucket's leader is its most central class, later that of the classes outside the leader's component
-                members = placed if k == 0 else placed.where("minor")
-                leads = members.groupBy("token").agg(F.min(_rank()).alias("lead")).select("token", F.col("lead.c1").alias("l1"), F.col("lead.c2").alias("l2"))
-                leads = written(leads, f"{scratch}/leads{k}")
-                lead = members.join(leads, "token").where("c1 = l1 AND c2 = l2").select("token", *_side(members, "b", F.col("component").alias("other")))
-                pairs = members.select("token", *_side(members, "a", "component")).join(lead, "token").where("component <> other")
-            else:
-                large = written(placed.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE).select("token"), f"{scratch}/large")
-                pairs = self._across(placed.join(large, "token", "left_anti"), _may_link(percent))
-                among = written(placed.join(large, "token"), f"{scratch}/among")
-                among = self._without_hopeless(among, self._texts_of(among.select(*CLASS).distinct(), "among"))
-                bound = F.least("a_most", "b_most") >= _overlap(F.col("a_n"), F.col("b_n"), percent)
-                pairs = pairs.unionByName(self._across(among, bound & _may_link(percent) & _ranges_allow(percent), ["most", "ranges"]))
-            more = self._linked(_candidates(pairs, percent), f"pairs{k}")
-            links = more if links is None else links.union(more)
-            found = components(links, f"{scratch}/components{k}")
-            reached = self.firsts.join(found, F.col("rep") == F.col("node"), "left").select(*CLASS, F.coalesce("component", "rep").alias("component"))
-            reached = written(reached, f"{scratch}/reached{k}")
-
-        joined = self.firsts.join(found, F.col("rep") == F.col("node"), "left").select(*CLASS, "size", "rep", F.coalesce("component", "rep").alias("component"))
-        joined = written(joined, f"{scratch}/components")
+        """A row for each document: id, n_shingles, component, class_rep (smallest id with the same shingles), n_links (other documents linked with it)."""
+        spark, scratch = self.spark, self.scratch
+        judged = written(self._judged(every=False), f"{scratch}/links")
+        remove(spark, f"{scratch}/texts")
+        self.members = None
+        found = components(judged.where("other IS NOT NULL").select(F.col("rep").alias("u"), F.col("other").alias("v")), f"{scratch}/components")
+        linked = judged.where("other IS NULL").groupBy("rep").agg(F.sum("links").alias("links"))
+        joined = self.firsts.join(found, F.col("rep") == F.col("node"), "left").join(linked, "rep", "left")
+        joined = joined.select(*CLASS, "size", "rep", F.coalesce("component", "rep").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))
+        joined = written(joined, f"{scratch}/joined")
         total = joined.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         hot = hot_cells(joined.withColumn("key", F.struct(*CLASS)), "key", "size", total).select("key.c1", "key.c2", "cells")
-        out = salted_join(classes, joined.drop("size"), CLASS, hot, F.col("id"), "left")
+        out = salted_join(self.classes, joined.drop("size"), CLASS, hot, F.col("id"), "left")
         release(spark)
-        return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"), F.coalesce("rep", "id").alias("class_rep"))
+        return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"), F.coalesce("rep", "id").alias("class_rep"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = NgramJoin(spark.read.parquet(f"{sf_dir}/documents.parquet"), shared_dir(spark, "op4"), words=3, percent=90).result()
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "class_rep")
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "class_rep", "n_links")

@@ -27,11 +27,10 @@ from typing import BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklog.llm.common import back_id, hot_cells, id_of, remove, salted_join, shared_dir, text_of, written
+from brooklog.llm.common import attempt, back_id, hot_cells, id_of, make_folder, remove, salted_join, shared_dir, text_of, written
 
 MIN_BYTES = 100
 ARCHIVE_BYTES = 256_000_000
@@ -67,11 +66,6 @@ def record(page: int, url: str | None, payload: bytes, digest: str, refers_to: i
     return f"WARC/1.1\r\n{lines}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
 
 
-def _attempt() -> str:
-    task = TaskContext.get()
-    return f"{task.stageId()}-{task.partitionId()}-{task.taskAttemptId()}"
-
-
 def _write(batches: Iterator[pa.RecordBatch], folder: str, archive_bytes: int) -> Iterator[pa.RecordBatch]:
     store, root = fs.FileSystem.from_uri(folder)
     out = packed = None
@@ -80,12 +74,12 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, archive_bytes: int) -
     def manifest() -> pa.RecordBatch:
         out.write(packed.flush())
         out.close()
-        return pa.RecordBatch.from_pydict({"archive": [f"{_attempt()}-{number}.warc.gz"], "n_records": [records]})
+        return pa.RecordBatch.from_pydict({"archive": [f"{attempt()}-{number}.warc.gz"], "n_records": [records]})
 
     for batch in batches:
         for page, url, html, digest, refers_to in zip(*(batch.column(c).to_pylist() for c in ("id", "url", "html", "digest", "refers_to")), strict=True):
             if out is None:
-                out, packed, records = store.open_output_stream(f"{root}/{_attempt()}-{number}.warc.gz", compression=None), zlib.compressobj(6, zlib.DEFLATED, 31), 0
+                out, packed, records = store.open_output_stream(f"{root}/{attempt()}-{number}.warc.gz", compression=None), zlib.compressobj(6, zlib.DEFLATED, 31), 0
             out.write(packed.compress(record(page, url, html.encode(), digest, refers_to)))
             records += 1
             if out.tell() >= archive_bytes:
@@ -95,14 +89,6 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, archive_bytes: int) -
         yield manifest()
 
 
-def _make_folder(spark: SparkSession, folder: str) -> str:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(folder)
-    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    store.mkdirs(at)
-    return store.makeQualified(at).toString()
-
-
 def revisits(pages: DataFrame, scratch: str, id_column: str = "page_id", payload_column: str = "html", min_bytes: int = MIN_BYTES) -> DataFrame:
     """id, url, html, digest, refers_to: of rows with equal payloads of min_bytes or more, all but that with the smallest id refer to it."""
     payload = text_of(pages, payload_column)
@@ -118,7 +104,7 @@ def revisits(pages: DataFrame, scratch: str, id_column: str = "page_id", payload
 
 def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes monolithic archives; returns the table of their names."""
-    folder = _make_folder(records.sparkSession, folder)
+    folder = make_folder(records.sparkSession, folder)
     return written(records.mapInArrow(partial(_write, folder=folder, archive_bytes=archive_bytes), MANIFEST), f"{folder}/manifest")
 
 
@@ -178,7 +164,7 @@ def _normalise(batches: Iterator[pa.RecordBatch], source: str, target: str) -> I
     to, to_root = fs.FileSystem.from_uri(target)
     for batch in batches:
         for k, archive in enumerate(batch.column("archive").to_pylist()):
-            name, records = f"{_attempt()}-{k}-{archive}", 0
+            name, records = f"{attempt()}-{k}-{archive}", 0
             with store.open_input_stream(f"{root}/{archive}", compression=None, buffer_size=BLOCK) as read, to.open_output_stream(f"{to_root}/{name}", compression=None, buffer_size=BLOCK) as write, to.open_output_stream(f"{to_root}/{name}.index", compression=None, buffer_size=BLOCK) as index:
                 for place in normalise(read, _Counted(write)):
                     index.write(json.dumps(place).encode() + b"\n")
@@ -189,7 +175,7 @@ def _normalise(batches: Iterator[pa.RecordBatch], source: str, target: str) -> I
 def normalise_archives(manifest: DataFrame, source: str, target: str) -> DataFrame:
     """Rewrites the archives that manifest names; returns the table of the new names. Each has a sidecar named .index."""
     spark = manifest.sparkSession
-    source, target = _make_folder(spark, source), _make_folder(spark, target)
+    source, target = make_folder(spark, source), make_folder(spark, target)
     tasks = manifest.repartition(max(1, manifest.count()), "archive")
     return written(tasks.mapInArrow(partial(_normalise, source=source, target=target), MANIFEST), f"{target}/manifest")
 
@@ -234,7 +220,7 @@ def _member(data: bytes) -> dict:
 def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     """A row for each record of normalised archives."""
     tasks = manifest.repartition(max(1, manifest.count()), "archive")
-    return tasks.mapInArrow(partial(_read, folder=_make_folder(manifest.sparkSession, folder)), RECORDS)
+    return tasks.mapInArrow(partial(_read, folder=make_folder(manifest.sparkSession, folder)), RECORDS)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

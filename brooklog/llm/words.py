@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words of which a worker keeps the hash; beyond it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 _U = np.uint64
 
 
