@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +47,26 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+_owner: list = [None, None]
+
+
+def own_caches(name: str, forget: Callable[[], None]) -> None:
+    """Called by a task before it uses the caches of its worker process: what operators of another name keep there is forgotten, so a worker that serves many stages holds one's caches only."""
+    if _owner[0] not in (None, name):
+        _owner[1]()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+    _owner[:] = [name, forget]
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """name, with underscores before it until no column of df has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def make_folder(spark: SparkSession, folder: str) -> str:
     """Makes the folder; its URI, for tasks that open files there with pyarrow.fs."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

@@ -7,7 +7,7 @@ any fixed order gives the same links.
 
 The index is dealt by prefix shingle and sorted by set size; a class stays in the bucket of a shingle only if a neighbour there passes
 the length filter. Then each class has the list of the shared shingles of its prefix, and its row in a bucket knows those that come
-before. A pair is a candidate in the bucket of its first common prefix shingle and in no other, so every pair is judged once: by the
+before. (Before that, rows are dropped that pass the filters with no other of their bucket, which most do.) A pair is a candidate in the bucket of its first common prefix shingle and in no other, so every pair is judged once: by the
 positional filter at that shingle, and by the suffix filter (numbers of shingles in RANGES fixed parts of the hash's values, modulo 16,
 which bound the number of shingles in one set only). Candidates are never rows: a task finds them within a bucket, and names the classes
 that are in any. Only these get their texts, once for each bucket, and the same candidates are then verified by comparing the words of
@@ -36,9 +36,9 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklog.llm.common import bounded_batches, hot_cells, release, remove, salted_join, shared_dir, written
+from brooklog.llm.common import bounded_batches, hot_cells, own_caches, release, remove, salted_join, shared_dir, written
 from brooklog.llm.components import components
-from brooklog.llm.words import shingles, words_of
+from brooklog.llm.words import forget, shingles, words_of
 
 WORDS, PERCENT = 5, 80
 SKETCH, CHUNKS = 1 << 20, 64
@@ -76,6 +76,7 @@ def signature(tokens: np.ndarray) -> bytes:
 def _classes(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """A row for each document; and rows with the task's counts, in chunks (n is the chunk)."""
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("bytes", pa.binary()), ("counts", pa.bool_())])
+    own_caches("words", forget)
     counts = np.zeros(SKETCH, np.int32)
     for batch in batches:
         rows = []
@@ -145,6 +146,58 @@ def _neighbours(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
         yield held[0]
 
 
+def _apart(numbers: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """At least how many shingles of two members are in one only."""
+    apart = (numbers[x] - numbers[y]) & 15
+    return np.minimum(apart, 16 - apart).sum(axis=1)
+
+
+def _numbers(packed: np.ndarray) -> np.ndarray:
+    return np.concatenate([packed & 15, packed >> 4], axis=1)
+
+
+POSSIBLE = "token long, c1 long, c2 long, n int, pos int"
+
+
+def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by KEY: those that pass the length, positional and suffix filters with another of their cell."""
+
+    def judged(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = [batch.column(c).to_numpy() for c in KEY]
+        n, pos, own = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "pos", "own"))
+        numbers = _numbers(np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(len(n), -1))
+        new = np.r_[True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]
+        ends = np.r_[np.flatnonzero(new)[1:], len(n)][np.cumsum(new) - 1]
+        across, keep, first = keys[1] != keys[2], np.zeros(len(n), bool), np.arange(len(n))
+        step = 1
+        while len(first):
+            first = first[first + step < ends[first]]
+            for k in range(0, len(first), 1 << 13):
+                x = first[k : k + (1 << 13)]
+                y = x + step
+                overlap = -(-percent * (n[x] + n[y]) // (100 + percent))
+                good = (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & (np.minimum(n[x] - pos[x], n[y] - pos[y]) >= overlap) & (~across[x] | (own[x] != own[y]))
+                x, y, overlap = x[good], y[good], overlap[good]
+                good = n[x] + n[y] - _apart(numbers, x, y) >= 2 * overlap
+                keep[x[good]] = keep[y[good]] = True
+            step += 1
+        return batch.filter(pa.array(keep)).select(["token", *CLASS, "n", "pos"])
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        last = [batch.column(c)[batch.num_rows - 1] for c in KEY]
+        at = int(np.logical_and.reduce([batch.column(c).to_numpy() == v.as_py() for c, v in zip(KEY, last, strict=True)]).argmax())
+        if at:
+            yield judged(batch.slice(0, at))
+        held = batch.slice(at)
+    if held is not None:
+        yield judged(held)
+
+
 class Cell:
     """The members of a bucket that stand against each other, and their candidate pairs."""
 
@@ -163,13 +216,11 @@ class Cell:
         a, b = np.nonzero(allowed)
         if not len(a):
             return []
-        packed = np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(len(n), -1)
-        numbers = np.concatenate([packed & 15, packed >> 4], axis=1)
+        numbers = _numbers(np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(len(n), -1))
         out, before = [], {}
         for k in range(0, len(a), 1 << 12):
             x, y = a[k : k + (1 << 12)], b[k : k + (1 << 12)]
-            apart = (numbers[x] - numbers[y]) & 15
-            good = n[x] + n[y] - np.minimum(apart, 16 - apart).sum(axis=1) >= 2 * overlap[x, y]
+            good = n[x] + n[y] - _apart(numbers, x, y) >= 2 * overlap[x, y]
             for i, j in zip(x[good].tolist(), y[good].tolist(), strict=True):
                 for p in (i, j):
                     if p not in before:
@@ -317,20 +368,31 @@ class NgramJoin:
         near = written(near, f"{scratch}/near")
         sketch.unpersist()
 
+        signed = self._dealt(near.join(self.firsts.select(*CLASS, "signature"), CLASS))
+        possible = signed.select(*KEY, "own", *CLASS, "n", "pos", "signature").repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(partial(_possible, percent=percent), POSSIBLE)
+        possible = written(possible, f"{scratch}/possible")
+        remove(spark, f"{scratch}/near")
+
         # the shared shingles of each class's prefix, in order; a row in a bucket knows those before its own
-        shared = near.groupBy(*CLASS).agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("shared"))
+        shared = possible.distinct().groupBy(*CLASS).agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("shared"))
         rows = shared.join(self.firsts, CLASS).select(*CLASS, "n", "signature", "size", "rep", F.col("shared.token").alias("tokens"), F.posexplode("shared").alias("k", "x"))
-        large = near.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells")).where("cells > 1")
-        rows = rows.withColumn("token", F.col("x.token")).join(large, "token", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
-        rows = rows.withColumn("own", F.pmod(F.xxhash64(*CLASS), F.col("cells")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-        rows = rows.select("token", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", *CLASS, "n", F.col("x.pos").alias("pos"), "signature", F.expr("slice(tokens, 1, k)").alias("prior"), "size", "rep")
+        rows = self._dealt(rows.select(*CLASS, "n", "signature", "size", "rep", F.col("x.token").alias("token"), F.col("x.pos").alias("pos"), F.expr("slice(tokens, 1, k)").alias("prior")))
+        rows = rows.select(*(c.split()[0] for c in MEMBER.split(", ")))
         members = rows.repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(partial(_partnered, percent=percent), MEMBER)
         members = written(members, f"{scratch}/members")
-        remove(spark, f"{scratch}/near")
-        wanted = texts.join(members.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+        remove(spark, f"{scratch}/possible")
+        wanted = texts.join(members.select(F.col("rep").alias("id")).distinct().hint("merge"), "id", "left_semi")  # the same plan at every size
         self.members = written(members.join(wanted, F.col("rep") == F.col("id")).drop("id"), f"{scratch}/texts")
         remove(spark, f"{scratch}/members")
 
+    @staticmethod
+    def _dealt(rows: DataFrame) -> DataFrame:
+        """With low, high, own: each row of a bucket in all pairs of cells that have its own one."""
+        large = rows.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells")).where("cells > 1")
+        rows = rows.join(large, "token", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+        rows = rows.withColumn("own", F.pmod(F.xxhash64(*CLASS), F.col("cells")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        return rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+
     def _judged(self, every: bool) -> DataFrame:
         self._prepare()
         cells = self.members.repartition(*KEY).sortWithinPartitions(*KEY)

@@ -21,6 +21,10 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
+def forget() -> None:
+    _hashes.clear()
+
+
 def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     """The runs of anything but ASCII white space, in UTF-8; lower: with A-Z in lower case."""
     data = (text or "").encode()
