@@ -11,7 +11,7 @@ from brooklog.llm.components import components
 from brooklog.llm.exact_dedup import ExactDedup, op1_exact_dedup
 from brooklog.llm.line_dedup import kept_lines, line_bitmaps, op9_line_dedup
 from brooklog.llm.ngram_join import NgramJoin, op4_ngram_join
-from brooklog.llm.substring_dedup import SubstringIndex, op6_substring_dedup
+from brooklog.llm.substring_dedup import SubstringIndex, cut, op6_substring_dedup
 
 from . import brute
 from .conftest import by_id
@@ -88,7 +88,8 @@ def test_extra_columns_may_have_any_name(spark, scratch, name):
     elif name == "near":
         assert {r["component"] for r in NgramJoin(df, scratch()).result().collect()} == {0}
     else:
-        assert SubstringIndex(spark, scratch(), window=3, gram=2).add(df).count() == 3
+        hits = SubstringIndex(spark, scratch(), window=3).add(df)
+        assert sorted(r["n_removed"] for r in cut(df, hits, scratch(), window=3).collect()) == [0, 5, 5]
 
 
 def test_exact_state_continues_and_collisions_are_resolved(spark, tables, scratch):
@@ -120,18 +121,24 @@ def test_a_line_in_many_documents_over_many_ranges(spark, scratch):
     assert sorted(r["id"] for r in got) == list(range(1, 400))
 
 
-def test_substring_index_over_batches(spark, scratch):
-    rows = sorted((r for r in corpus(3, 80)), key=lambda r: r[0])
+@pytest.mark.parametrize("bits", [64, 8])
+def test_substring_index_over_batches(spark, scratch, bits):
+    """With 8 bits most windows have a fingerprint that others have too, so hits are settled by their words."""
+    rows = sorted((r for r in corpus(3, 80) if bits == 64 or r[0] not in (3, 4)), key=lambda r: r[0])
+    passage = " ".join(f"q{k}" for k in range(16))
+    rows += [(90, f"a {passage} b"), (91, f"{passage} {passage} {passage}"), (92, f"x {passage} {passage}")]  # in a row in 91, not in 90
     frame = lambda part: spark.createDataFrame(part, "doc_id long, text string")
-    index, got, state = None, {}, None
-    root = scratch()
-    for k in range(0, 80, 16):
-        index = SubstringIndex(spark, root, max_runs=2, state=state)
-        found = index.add(frame(rows[k : k + 16]), history=frame(rows[:k]))
-        got |= {r["id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found.collect()}
+    hits, state, root = None, None, scratch()
+    for k in range(0, len(rows), 21):
+        index = SubstringIndex(spark, root, max_runs=2, state=state, bits=bits)
+        found = index.add(frame(rows[k : k + 21]))
+        hits = found if hits is None else hits.unionByName(found)
         state = index.state()
+        assert len(index.runs) <= 2
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in cut(frame(rows), hits, scratch(), bits=bits).collect()}
     assert got == brute.substrings(rows)
-    assert max(len(v) for v in index.runs.values()) <= 2
+    known = [r["fingerprint"] for r in spark.read.parquet(f"{root}/files").collect()]
+    assert len(known) == len(set(known)) and index.batches == 4
 
 
 def test_chain_of_near_copies_and_a_large_group(spark, scratch):
@@ -164,9 +171,8 @@ def test_large_buckets_that_are_not_linked_to_their_leader(spark, scratch, seed)
             copy[rng.randrange(100)] = f"y{rng.randrange(10**6)}"
             rows.append((len(rows), " ".join(copy + phrase * (d < 24))))
     rng.shuffle(rows)
-    df, root = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), scratch()
-    assert {r["id"]: (r["n_shingles"], r["component"]) for r in NgramJoin(df, root, 3, 90).result().collect()} == brute.near(rows, 3, 90)
-    assert spark.read.parquet(f"{root}/large").count()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r["id"]: (r["n_shingles"], r["component"]) for r in NgramJoin(df, scratch(), 3, 90).result().collect()} == brute.near(rows, 3, 90)
 
 
 def linked(rows, k, percent):
@@ -180,6 +186,15 @@ def linked(rows, k, percent):
     return {(u, v) for n, (x, u) in enumerate(sets) for y, v in sets[n + 1 :] if 100 * (both := len(x & y)) >= percent * (len(x) + len(y) - both) and both}
 
 
+def numbers_of_links(rows, k, percent):
+    """Of each document: the other documents that link to it, copies among them."""
+    sets = {}
+    for d, t in rows:
+        w = brute.words(brute.lower(t or ""))
+        sets[d] = frozenset([tuple(w)]) if 0 < len(w) < k else frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if w else frozenset()
+    return {d: sum(e != d and 100 * (both := len(x & y)) >= percent * (len(x) + len(y) - both) and both > 0 for e, y in sets.items()) for d, x in sets.items()}
+
+
 @pytest.mark.parametrize("cell", [256, 7])
 def test_pairs_are_all_links_between_classes(spark, scratch, monkeypatch, cell):
     monkeypatch.setattr("brooklog.llm.ngram_join.CELL", cell)
@@ -201,7 +216,18 @@ def test_pairs_are_all_links_between_classes(spark, scratch, monkeypatch, cell):
         join = NgramJoin(df, scratch(), words, percent)
         found, want = [tuple(r) for r in join.pairs().collect()], linked(rows, words, percent)
         assert len(found) == len(set(found)) and set(found) == want and len(want) > 1000
-        assert {r["id"]: r["component"] for r in join.result().collect() if r["id"] is not None} == {d: c for d, (_, c) in brute.near(rows, words, percent).items()}
+        got = [r for r in join.result().collect() if r["id"] is not None]
+        assert {r["id"]: r["component"] for r in got} == {d: c for d, (_, c) in brute.near(rows, words, percent).items()}
+        assert {r["id"]: r["n_links"] for r in got} == numbers_of_links(rows, words, percent)
+
+
+def test_rows_that_share_an_id_and_a_text_of_another_class(spark, scratch):
+    text = [f"x{k}" for k in range(60)]
+    rows = [(1, " ".join(text)), (1, " ".join(text)), (1, "something else"), (2, " ".join(text[:-1])), (3, " ".join(text[:-2]))]
+    join = NgramJoin(spark.createDataFrame(rows, "doc_id long, text string"), scratch(), 3, 90)
+    assert {tuple(r) for r in join.pairs().collect()} == {(1, 2), (1, 3), (2, 3)}
+    got = sorted((r["id"], r["n_shingles"], r["component"], r["n_links"]) for r in join.result().collect())
+    assert got == [(1, 1, 1, 2), (1, 58, 1, 3), (1, 58, 1, 3), (2, 57, 1, 3), (3, 56, 1, 3)]  # an id has the links of all its texts
 
 
 def test_components(spark, scratch):
