@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklog.llm.common import shared_dir, written
+from brooklog.llm.common import bounded_batches, own_caches, shared_dir, unused, written
 
 DIMENSIONS, N, SEED = 512, 3, 20240
 PER_LANGUAGE = 10_000
 MAX_LANGUAGES = 4096
 #: n-grams whose vectors a worker keeps; beyond it starts anew.
 CACHE_GRAMS = 30_000
+#: Vectors that are made numbers of four bytes at a time.
+ADDED = 4096
 #: Code points of a text that are profiled at a time.
 SEGMENT = 1 << 20
 UND = "und"
@@ -44,7 +46,7 @@ class Grams:
 
     def __init__(self, dimensions: int, n: int):
         self.dimensions, self.n, self.rows = dimensions, n, {}
-        self.table = np.empty((1024, dimensions), np.float32)
+        self.table = np.empty((1024, dimensions), np.int8)
 
     def vector(self, gram: tuple[int, ...]) -> np.ndarray:
         out = np.ones(self.dimensions, np.int8)
@@ -91,13 +93,14 @@ def profile(text: str | None, dimensions: int = DIMENSIONS, n: int = N) -> np.nd
         for k in range(n):
             keys = keys << 21 | part[k : len(part) - n + 1 + k]
         keys, counts = np.unique(keys, return_counts=True)
-        for k in range(0, len(keys), CACHE_GRAMS):
-            rows = grams.of(keys[k : k + CACHE_GRAMS])
-            out += counts[k : k + CACHE_GRAMS].astype(np.float32) @ grams.table[rows]
+        for k in range(0, len(keys), ADDED):
+            rows = grams.of(keys[k : k + ADDED])
+            out += counts[k : k + ADDED].astype(np.float32) @ grams.table[rows].astype(np.float32)
     return out
 
 
 def _train(batches: Iterator[pa.RecordBatch], dimensions: int, n: int) -> Iterator[pa.RecordBatch]:
+    own_caches("language", _grams.clear)
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -110,6 +113,7 @@ def _train(batches: Iterator[pa.RecordBatch], dimensions: int, n: int) -> Iterat
 
 def train(docs: DataFrame, scratch: str, lang_column: str = "lang", text_column: str = "text", id_column: str = "doc_id", per_language: int = PER_LANGUAGE, dimensions: int = DIMENSIONS, n: int = N) -> dict[str, list[float]]:
     """The prototypes, from rows with a label."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(docs[text_column].alias("text"), docs[lang_column].alias("lang"), docs[id_column].alias("id")).where("lang IS NOT NULL AND text IS NOT NULL")
     counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(counts) > MAX_LANGUAGES:
@@ -126,7 +130,8 @@ def train(docs: DataFrame, scratch: str, lang_column: str = "lang", text_column:
     return {r["lang"]: [float(x["total"]) for x in r["v"]] for r in sorted(table.collect(), key=lambda r: r["lang"])}
 
 
-def _predict(batches: Iterator[pa.RecordBatch], prototypes: dict[str, list[float]], dimensions: int, n: int) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], prototypes: dict[str, list[float]], text_column: str, out: tuple[str, str], dimensions: int, n: int) -> Iterator[pa.RecordBatch]:
+    own_caches("language", _grams.clear)
     names = sorted(prototypes)
     table = np.array([prototypes[k] for k in names]).reshape(len(names), dimensions)
     if len(names):
@@ -136,7 +141,7 @@ def _predict(batches: Iterator[pa.RecordBatch], prototypes: dict[str, list[float
     own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12) if len(names) else 1
     for batch in batches:
         langs, scores = [], []
-        for text in batch.column("text").to_pylist():
+        for text in batch.column(text_column).to_pylist():
             p = profile(text, dimensions, n) if names else None
             if p is None:
                 langs.append(UND)
@@ -146,14 +151,15 @@ def _predict(batches: Iterator[pa.RecordBatch], prototypes: dict[str, list[float
             best = int(np.argmax(cosines))
             langs.append(names[best])
             scores.append(float(min(1, max(0, cosines[best]))))
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["row", "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, *out])
 
 
 def predict(docs: DataFrame, prototypes: dict[str, list[float]], text_column: str = "text", dimensions: int = DIMENSIONS, n: int = N) -> DataFrame:
-    """row (a struct of the columns of docs), lang_pred, score."""
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text_column].alias("text"))
-    schema = rows.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return rows.mapInArrow(partial(_predict, prototypes=prototypes, dimensions=dimensions, n=n), schema)
+    """docs with two more columns, the last: lang_pred, score (with underscores before them where docs has such columns)."""
+    bounded_batches(docs.sparkSession)
+    out = unused("lang_pred", docs), unused("score", docs)
+    schema = docs.select("*", F.lit("").alias(out[0]), F.lit(0.0).alias(out[1])).schema
+    return docs.mapInArrow(partial(_predict, prototypes=prototypes, text_column=text_column, out=out, dimensions=dimensions, n=n), schema)
 
 
 def held_out(docs: DataFrame, id_column: str = "doc_id"):
@@ -163,8 +169,5 @@ def held_out(docs: DataFrame, id_column: str = "doc_id"):
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     prototypes = train(docs.where(~held_out(docs)), shared_dir(spark, "op2"))
-    docs = docs.select("doc_id", held_out(docs).alias("held_out"), "text")
-    slim = docs.select(F.struct("doc_id", "held_out").alias("row"), "text")
-    schema = slim.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    out = slim.mapInArrow(partial(_predict, prototypes=prototypes, dimensions=DIMENSIONS, n=N), schema)
-    return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
+    found = predict(docs.select("doc_id", held_out(docs).alias("held_out"), "text"), prototypes)
+    return found.select("doc_id", "held_out", "lang_pred", "score")

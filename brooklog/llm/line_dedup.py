@@ -16,6 +16,7 @@ import hashlib
 import string
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brooklog.llm.common import WHITE, back_id, id_of, shared_dir, text_of, written
+from brooklog.llm.common import WHITE, bounded_batches, id_of, remove, shared_dir, text_of, unused, written
 
 MIN_POINTS = 10
 RUNS = "hash binary, id long, text_key long, pos int, n_lines int"
@@ -91,6 +92,7 @@ def later_occurrences(rows: DataFrame, path: str) -> DataFrame:
 
 def line_bitmaps(docs: DataFrame, scratch: str, id_column: str = "doc_id", text_column: str = "text", min_points: int = MIN_POINTS) -> DataFrame:
     """For each document that loses lines: id, text_key, n_lines, n_dropped, keep (zlib of packed bits, first line first)."""
+    bounded_batches(docs.sparkSession)
     lines = F.split(text_of(docs, text_column), "\n", -1)
     rows = docs.select(id_of(docs, id_column).alias("id"), text_key(docs, text_column).alias("text_key"), F.size(lines).alias("n_lines"), F.posexplode(lines).alias("pos", "line"))
     key = F.translate(F.btrim("line", F.lit(WHITE)), string.ascii_uppercase, string.ascii_lowercase)
@@ -98,30 +100,36 @@ def line_bitmaps(docs: DataFrame, scratch: str, id_column: str = "doc_id", text_
     rows = rows.select(F.unhex(F.left(F.sha2(F.col("key").cast("binary"), 256), F.lit(32))).alias("hash"), "id", "text_key", "pos", "n_lines")
     rows = written(rows, f"{scratch}/lines")  # read twice: to sample the ranges, and to sort
     dropped = later_occurrences(rows, f"{scratch}/runs")
+    remove(docs.sparkSession, f"{scratch}/lines")
     by_doc = dropped.groupBy("id", "text_key").agg(F.collect_set("pos").alias("dropped"), F.first("n_lines").alias("n_lines"))
     return by_doc.select("id", "text_key", "n_lines", F.size("dropped").alias("n_dropped"), _bitmap("dropped", "n_lines").alias("keep"))
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _apply(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.RecordBatch]:
+    """The last three columns are n_lines, n_dropped and keep; place is that of the text."""
     for batch in batches:
         texts = []
-        for text, n, keep in zip(batch.column("text").to_pylist(), batch.column("n_lines").to_pylist(), batch.column("keep").to_pylist(), strict=True):
+        for text, n, keep in zip(batch.column(place).to_pylist(), *(batch.column(batch.num_columns - k).to_pylist() for k in (3, 1)), strict=True):
             if keep is not None:
                 text = "\n".join(line for line, k in zip(text.split("\n"), kept_lines(keep, n), strict=True) if k)
             texts.append(text)
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([t for t in texts], pa.string()), batch.column("n_dropped")], names=["row", "kept", "n_dropped"])
+        columns = [*batch.columns[:-3], batch.column(batch.num_columns - 2)]
+        columns[place] = pa.array(texts, pa.string())
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-3], batch.schema.names[-2]])
 
 
 def with_kept_text(docs: DataFrame, scratch: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """row (a struct of the columns of docs), kept (the text without dropped lines), n_dropped (null: nothing was dropped)."""
+    """docs, the text without dropped lines, with one more column, the last: n_dropped (null: nothing was dropped; with underscores before it where docs has such a column)."""
     maps = line_bitmaps(docs, scratch, id_column, text_column)
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), id_of(docs, id_column).alias("id"), text_key(docs, text_column).alias("text_key"), text_of(docs, text_column).alias("text"))
-    joined = rows.join(maps, ["id", "text_key"], "left").select("row", "text", "n_lines", "n_dropped", "keep")
-    return joined.mapInArrow(_apply, joined.select("row", F.col("text").alias("kept"), "n_dropped").schema)
+    own = {c: unused(c, docs) for c in maps.columns}
+    maps = maps.withColumnsRenamed(own)
+    rows = docs.withColumns({own["id"]: id_of(docs, id_column), own["text_key"]: text_key(docs, text_column)})
+    joined = rows.join(maps, [own["id"], own["text_key"]], "left").select(*docs.columns, *(own[c] for c in ("n_lines", "n_dropped", "keep")))
+    return joined.mapInArrow(partial(_apply, place=docs.columns.index(text_column)), joined.drop(own["n_lines"], own["keep"]).schema)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_sha256", pa.string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_sha256", pa.string())])
     for batch in batches:
         n_lines, n_dropped, digests = [], [], []
         for text, keep, dropped in zip(batch.column("text").to_pylist(), batch.column("keep").to_pylist(), batch.column("n_dropped").to_pylist(), strict=True):
@@ -131,16 +139,15 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_lines.append(len(lines))
             n_dropped.append(dropped or 0)
             digests.append(hashlib.sha256(text.encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(digests, pa.string())], schema=schema)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(digests, pa.string())], schema=schema)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     maps = line_bitmaps(docs, shared_dir(spark, "op9"))
-    rows = docs.select(id_of(docs).alias("id"), text_key(docs, "text").alias("text_key"), text_of(docs).alias("text"))
-    joined = rows.join(maps, ["id", "text_key"], "left").select("id", "text", "keep", "n_dropped")
-    out = joined.mapInArrow(_digest, "id long, n_lines long, n_dropped long, kept_sha256 string")
-    return out.select(back_id("id").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256")
+    rows = docs.select("doc_id", id_of(docs).alias("id"), text_key(docs, "text").alias("text_key"), text_of(docs).alias("text"))
+    joined = rows.join(maps, ["id", "text_key"], "left").select("doc_id", "text", "keep", "n_dropped")
+    return joined.mapInArrow(_digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 OP9_SQL = r"""

@@ -10,6 +10,11 @@ the last, which returns the pieces of packed sequences. What stages decide:
   largest); rows are judged one by one, whether or not their ids repeat.
 - decontamination drops documents with a passage within the edit budget of a benchmark item.
 - packing cuts and places the ids of every document that is left.
+
+Defined results: a null or empty text, or one without a letter, goes in the first stage; in the others it would stay (line_dedup drops a
+text only if it lost lines) and is packed as the end id. Null ids count as the largest in line_dedup and near_duplicates, and come back
+as null. Rows that repeat are each judged: one of them stays in near_duplicates, the first by id and then by row number. Ties go to the
+smallest id. Long texts are processed whole. Empty tables give empty ones. Other columns pass through unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,17 +32,18 @@ ORACLE_SQL = None
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prototypes = language_id.train(docs, shared_dir(spark, "language"))
+    judged = language_id.predict(docs, prototypes)
+    predicted = F.col(judged.columns[-2])
     # texts with a letter are `und` too where nothing is trained, or where that is a label
-    judged = language_id.predict(docs, prototypes).where((F.col("lang_pred") != language_id.UND) | F.col("row.text").rlike(r"\p{L}"))
-    return judged.select(*(F.coalesce(F.col("row")[c], F.col("lang_pred")).alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns))
+    judged = judged.where((predicted != language_id.UND) | F.col("text").rlike(r"\p{L}"))
+    return judged.select(*(F.coalesce("lang", predicted).alias("lang") if c == "lang" else c for c in docs.columns))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = line_dedup.with_kept_text(docs, shared_dir(spark, "lines"))
-    kept = kept.where(F.col("n_dropped").isNull() | (F.btrim("kept", F.lit(WHITE)) != ""))
-    changed = F.col("n_dropped").isNotNull()
-    new = {"text": F.col("kept"), "n_chars": F.length("kept")}
-    return kept.select(*(F.when(changed, new[c].cast(docs.schema[c].dataType)).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
+    changed = F.col(kept.columns[-1]).isNotNull()
+    kept = kept.where(~changed | (F.btrim("text", F.lit(WHITE)) != ""))
+    return kept.select(*(F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars" else c for c in docs.columns))
 
 
 def numbered(docs: DataFrame, path: str) -> DataFrame:
