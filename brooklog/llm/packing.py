@@ -1,9 +1,15 @@
 """Harmonic packing of tokenised documents into sequences.
 
-A document's ids are cut so that every piece has a length of capacity / k for k = 1, 2, 4, ...: as many whole sequences as fit, then the
-binary parts of the rest, longest first. Pieces of class k go to that class's open sequence, and k of them fill it without a gap. Each
-task fills its own sequences, without any shuffle, and holds only the pieces of its open sequences (fewer than 2 * capacity). At its end
-it puts these, longest first, into full sequences and at most one sequence for each smaller power of two. So no sequence needs padding.
+A document of more ids than the capacity C fills whole sequences; what is left of it, like any shorter document, is a rest. Rests are
+partitioned by length into the reciprocal classes (C / (k + 1), C / k], k = 1, 2, ...; a class's open sequence is closed when it has its
+fixed number, k, of rests. The space that is left in a closed sequence is filled by cutting a filler: a rest of a document that was cut
+anyway, or else the next rest that comes. So other documents that fit a sequence stay whole. Each task fills its own sequences, without
+any shuffle, and holds only the rests of its open sequences (fewer than k for class k, so fewer than C ids for a class) and FILLERS
+fillers. At its end it puts what is left one after the other into full sequences and at most one sequence for each smaller power of two.
+So no sequence needs padding.
+
+Any tokenizer file may be named. One that lower-cases and drops white space between words, as the default does, is recognised by its
+own description, and words are then looked up; texts are encoded whole by any other.
 
 Defined results: a null or empty text holds only the end id; every input row is packed, also one that repeats another or has a null id;
 an empty table gives no rows; other columns are ignored whatever their names. Rows are the same when a lost task runs again, as they
@@ -12,21 +18,28 @@ follow from the partition alone.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Callable, Iterator
 from functools import partial
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from brooklog.llm.common import bounded_batches, own_caches
+
 CAPACITY = 2048
 END_ID = 1
 #: Words of which a worker keeps the ids; beyond it starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 150_000
+#: Fillers that a task holds.
+FILLERS = 64
 #: Longer texts are encoded in segments of about so many bytes, cut at white space.
 SEGMENT = 4_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -77,68 +90,127 @@ class WordEncoder:
         return b"".join(out)
 
 
-_encoders: dict[str, WordEncoder] = {}
+class TextEncoder:
+    """Ids of whole texts for any tokenizer."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def __call__(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+#: The parts of a tokenizer file by which WordEncoder's look-up of words is right.
+BY_WORDS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 
+_encoders: dict[str, Callable[[str], bytes]] = {}
 
-def encoder(path: str) -> WordEncoder:
+
+def encoder(path: str) -> Callable[[str], bytes]:
     """One for each worker process, which serves many tasks."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        own = json.loads(Path(path).read_text())
+        _encoders[path] = WordEncoder(path) if all(own.get(k) == v for k, v in BY_WORDS.items()) else TextEncoder(path)
     return _encoders[path]
 
 
-def cut(n: int, capacity: int) -> list[int]:
-    """Lengths of the pieces of n ids, longest first."""
-    rest = n % capacity
-    return [capacity] * (n // capacity) + [1 << k for k in range(capacity.bit_length() - 2, -1, -1) if rest >> k & 1]
+Piece = tuple[object, int, int, bytes]  # a document's id, number of ids, start, and the piece's ids of four bytes
+
+
+def _cut(piece: Piece, size: int) -> tuple[Piece, Piece]:
+    doc, total, start, ids = piece
+    return (doc, total, start, ids[: 4 * size]), (doc, total, start + size, ids[4 * size :])
 
 
 class Packer:
-    """Places pieces; gives back (piece, sequence, offset) as sequences are complete. Sequences count up from first."""
+    """Places documents; gives back (piece, sequence, offset) as sequences are complete. Sequences count up from first."""
 
     def __init__(self, capacity: int, first: int):
-        self.capacity, self.next, self.open = capacity, first, {}
-
-    def add(self, length: int, piece) -> list[tuple]:
-        held = self.open.setdefault(length, [])
-        held.append(piece)
-        if len(held) * length < self.capacity:
-            return []
-        self.open[length] = []
+        self.capacity, self.next = capacity, first
+        self.open: dict[int, list[Piece]] = {}
+        self.fillers: deque[Piece] = deque()
+        self.waiting: list[Piece] = []  # of a closed sequence with space
+        self.space = 0
+        self.out: list[tuple[Piece, int, int]] = []
+
+    def _place(self, pieces: list[Piece]) -> None:
+        """As a sequence."""
+        offset = 0
+        for p in pieces:
+            self.out.append((p, self.next, offset))
+            offset += len(p[3]) // 4
         self.next += 1
-        return [(p, self.next - 1, k * length) for k, p in enumerate(held)]
 
-    def close(self) -> list[tuple]:
-        out, left = [], sum(length * len(held) for length, held in self.open.items())
-        room = offset = 0
-        for length in sorted(self.open, reverse=True):
-            for piece in self.open[length]:
-                if not room:
-                    room, offset, self.next = min(self.capacity, 1 << (left.bit_length() - 1)), 0, self.next + 1
-                out.append((piece, self.next - 1, offset))
-                offset, room, left = offset + length, room - length, left - length
-        self.open = {}
-        return out
+    def _fill(self) -> None:
+        """As much of the waiting sequence's space as there are fillers."""
+        while self.space and self.fillers:
+            part, rest = _cut(self.fillers.popleft(), self.space)
+            self.waiting.append(part)
+            self.space -= len(part[3]) // 4
+            if rest[3]:
+                self.fillers.appendleft(rest)
+        if self.waiting and not self.space:
+            self._place(self.waiting)
+            self.waiting = []
+
+    def add(self, doc, ids: bytes) -> list[tuple[Piece, int, int]]:
+        rest: Piece = (doc, len(ids) // 4, 0, ids)
+        while len(rest[3]) >= 4 * self.capacity:
+            part, rest = _cut(rest, self.capacity)
+            self._place([part])
+        if rest[3] and (self.space or (rest[2] and len(self.fillers) < FILLERS)):
+            self.fillers.append(rest)
+            self._fill()
+        elif rest[3]:
+            k = self.capacity // (len(rest[3]) // 4)
+            held = self.open.setdefault(k, [])
+            held.append(rest)
+            if len(held) == k:
+                self.waiting, self.space = self.open.pop(k), self.capacity - sum(len(p[3]) // 4 for p in held)
+                self._fill()
+        done, self.out = self.out, []
+        return done
+
+    def close(self) -> list[tuple[Piece, int, int]]:
+        """What is held, one after the other, in full sequences and in the powers of two that make up the rest."""
+        self.fillers.extendleft(reversed(self.waiting))
+        self.fillers.extend(p for k in sorted(self.open) for p in self.open[k])
+        self.open, left = {}, sum(len(p[3]) // 4 for p in self.fillers)
+        while left:
+            self.waiting, self.space = [], min(self.capacity, 1 << (left.bit_length() - 1))
+            left -= self.space
+            self._fill()
+        done, self.out = self.out, []
+        return done
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
+    own_caches("packing", _encoders.clear)
     encode, packer = encoder(path), Packer(capacity, TaskContext.get().partitionId() << 40)
     names = [x.split()[0] for x in PIECES.split(", ")]
     end = np.array([end_id], "<u4").tobytes()
 
     def rows(placed: list[tuple]) -> pa.RecordBatch:
-        table = [(*piece, sequence, offset) for piece, sequence, offset in placed]
+        table = [(doc, start, len(ids) // 4, zlib.crc32(ids), total, sequence, offset) for (doc, total, start, ids), sequence, offset in placed]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*table, strict=True)], names=names)
 
     placed: list[tuple] = []
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids = memoryview(encode(text or "") + end)
-            total, start = len(ids) // 4, 0
-            for length in cut(total, capacity):
-                placed += packer.add(length, (doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), total))
-                start += length
-            if len(placed) > 20_000:
+            placed += packer.add(doc_id, encode(text or "") + end)
+            if len(placed) > 5000:
                 yield rows(placed)
                 placed = []
     if placed := placed + packer.close():
@@ -153,6 +225,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    bounded_batches(docs.sparkSession)
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
     return rows.mapInArrow(partial(_pack, path=tokenizer, capacity=capacity, end_id=end_id), PIECES)
 

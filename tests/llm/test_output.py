@@ -66,11 +66,55 @@ def test_packing_is_a_round_trip_without_padding(spark, tables, tokenizer):
 
 
 def test_full_sequences_hold_a_fixed_number_of_one_class():
+    packer, ids = packing.Packer(16, 0), lambda n: bytes(4 * n)
+    out = [x for k in range(10) for x in packer.add(k, ids(4))]
+    assert [(p[0], s, o) for p, s, o in out] == [(k, k // 4, 4 * (k % 4)) for k in range(8)]
+    assert [(p[0], s, o) for p, s, o in packer.close()] == [(8, 2, 0), (9, 2, 4)]
     packer = packing.Packer(16, 0)
-    out = [x for k in range(10) for x in packer.add(4, k)]
-    assert [(p, s, o) for p, s, o in out] == [(k, k // 4, 4 * (k % 4)) for k in range(8)]
-    assert packer.close() == [(8, 2, 0), (9, 2, 4)]
-    assert packing.cut(37, 16) == [16, 16, 4, 1] and packing.cut(0, 16) == []
+    assert packer.add("a", ids(7)) == []
+    assert packer.add("b", ids(7)) == []  # closes class 2 with space 2
+    out = packer.add("c", ids(5))  # fills it, and is a filler from then on
+    assert [(p[0], p[2], len(p[3]) // 4, s, o) for p, s, o in out] == [("a", 0, 7, 0, 0), ("b", 0, 7, 0, 7), ("c", 0, 2, 0, 14)]
+    assert [(p[0], p[2], len(p[3]) // 4, s, o) for p, s, o in packer.close()] == [("c", 2, 2, 1, 0), ("c", 4, 1, 2, 0)]
+
+
+@pytest.mark.parametrize("capacity", [8, 64, 2048])
+def test_no_plain_packer_needs_fewer_sequences_and_short_documents_stay_whole(capacity):
+    rng, packer = random.Random(capacity), packing.Packer(capacity, 0)
+    sizes = [max(1, int(rng.lognormvariate(np.log(capacity / 3), 1))) for _ in range(3000)]
+    out = [x for d, n in enumerate(sizes) for x in packer.add(d, np.arange(n, dtype="<u4").tobytes())] + packer.close()
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for (d, total, start, ids), sequence, offset in out:
+        assert total == sizes[d] and np.frombuffer(ids, "<u4").tolist() == list(range(start, start + len(ids) // 4))
+        by_doc[d].append((start, len(ids) // 4))
+        by_sequence[sequence].append((offset, len(ids) // 4))
+    for d, n in enumerate(sizes):
+        assert sum(size for _, size in by_doc[d]) == n
+    used = [sum(size for _, size in v) for v in by_sequence.values()]
+    assert all(u & (u - 1) == 0 and u <= capacity for u in used) and sum(u < capacity for u in used) <= capacity.bit_length()
+    best = -(-sum(sizes) // capacity)  # of any packer, if documents may be cut
+    assert len(used) <= best + capacity.bit_length()
+    short = [d for d, n in enumerate(sizes) if n <= capacity]
+    assert sum(len(by_doc[d]) > 1 for d in short) < 0.1 * len(short) and len(out) < 1.7 * len(sizes)
+
+
+def test_any_tokenizer_gives_its_own_ids():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode, whole = packing.encoder(path), Tokenizer.from_file(path)
+    for text in TEXTS[1:]:
+        assert np.frombuffer(encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert isinstance(packing.encoder(public_tokenizers.path("word_bpe_49k.json")), packing.WordEncoder)
+
+
+def test_packing_of_null_ids_repeats_and_clashing_columns(spark):
+    df = spark.createDataFrame([(None, "a b", 1), (None, "a b", 2), (7, "c", 3), (7, "c", 3)], "doc_id long, text string, start long")
+    df = df.withColumns({c: F.lit("x") for c in ("length", "sequence_id", "offset", "ids_crc32", "row")})
+    got = packing.pack(df).collect()
+    assert sorted(str(r["doc_id"]) for r in got if r["start"] == 0) == ["7", "7", "None", "None"]
+    assert sum(r["length"] for r in got) == sum(r["doc_tokens"] for r in got if r["start"] == 0)
 
 
 def test_packing_of_nothing_and_of_odd_capacity(spark, tables):
