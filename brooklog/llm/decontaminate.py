@@ -4,7 +4,10 @@ A document leaks an item if some passage of it is within the item's edit budget,
 lower-cased and their runs of anything but letters and digits made one space. An occurrence with e edits of an item of m characters
 keeps at least m + 1 - q * (e + 1) of its q-grams, on diagonals (place in the document less place in the item) that differ by at most
 2 * e. So the different item q-grams that a document shares are counted in diagonal bands twice as wide as that which overlap by half;
-bands that reach the bound are verified by an alignment within the band. The filter drops no occurrence within the budget.
+bands that reach the bound are verified by an alignment within the band, and long stretches of such bands, as repetitive texts have,
+by one scan with bit vectors. The filter drops no occurrence within the budget. For one gram, of the places of a text in a cell as wide
+as a band only the first and the last are held against the item's places, as they give all its bands; and these are looked at EXPANDED
+pairs at a time, so neither repetitive texts nor repetitive items take more memory than their length.
 
 The items are a stated query set: they are collected in blocks of at most block_chars characters in expectation, chosen by a hash, and
 each block is held against all documents. Documents are read in segments, so memory doesn't grow with a text.
@@ -27,8 +30,14 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brooklog.llm.common import bounded_batches
+
 Q, BUDGET, MIN_CHARS, BLOCK_CHARS, SEGMENT = 8, 0.1, 24, 4_000_000, 1 << 20
 HASH_BITS = 20
+#: Pairs of places that are looked at together, and bands in a row that are aligned one by one.
+EXPANDED, FEW = 1 << 20, 4
+#: Characters of an item from which on a band is scanned, as its width grows with the item.
+WIDE = 20_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 HITS = "item_id long, distance int, item_chars int, start long, end long"
 
@@ -79,8 +88,6 @@ class Items:
     def __init__(self, items: list[tuple[int, str]], q: int = Q, share: float = BUDGET, min_chars: int = MIN_CHARS):
         every = [(i, p) for i, t in items if t and len(p := normalised(t)[0])]
         kept, short = [x for x in every if len(x[1]) >= max(min_chars, q)], [x for x in every if len(x[1]) < max(min_chars, q)]
-        if len(every) >= 1 << 20 or any(len(p) >= 1 << 20 for _, p in kept):
-            raise ValueError("a block holds fewer than 2**20 items of fewer than 2**20 characters")
         self.q, self.ids, self.points = q, [i for i, _ in kept], [p for _, p in kept]
         self.sizes = np.array([len(p) for p in self.points], np.int64)
         self.edits = np.array([budget(len(p), q, share) for p in self.points], np.int64)
@@ -97,6 +104,9 @@ class Items:
         self.item = np.repeat(np.arange(len(kept)), [len(h) for h in hashes])[order] if kept else np.empty(0, np.int64)
         self.place = np.concatenate([np.arange(len(h)) for h in hashes])[order] if kept else np.empty(0, np.int64)
         self.keys, self.first, self.count = np.unique(keys[order], return_index=True, return_counts=True)
+        self.gram = np.repeat(np.arange(len(self.keys)), self.count)
+        by_item = np.argsort(self.item, kind="stable")
+        self.entries = np.split(by_item, np.cumsum(np.bincount(self.item, minlength=len(kept)))[:-1]) if kept else []
         self.filter = np.zeros(1 << HASH_BITS, bool)
         self.filter[(self.keys >> np.uint64(64 - HASH_BITS)).astype(np.int64)] = True
 
@@ -146,6 +156,65 @@ def short_leaks(points: np.ndarray, items: Items) -> dict[int, tuple[int, int]]:
     return out
 
 
+def scan(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
+    """The least edit distance of the item to any passage of text, and the first end of such a passage: columns of differences as bit vectors."""
+    m, masks = len(item), {}
+    whole, part, place = text.tobytes(), item.tobytes(), -1
+    while (place := whole.find(part, place + 1)) >= 0:
+        if place % item.itemsize == 0:
+            return 0, place // item.itemsize + m
+    for i, c in enumerate(item.tolist()):
+        masks[c] = masks.get(c, 0) | 1 << i
+    every, top = (1 << m) - 1, 1 << (m - 1)
+    more, fewer, score = every, 0, m
+    best = (m, 0)
+    for at, c in enumerate(text.tolist(), 1):
+        equal = masks.get(c, 0)
+        vertical = equal | fewer
+        horizontal = (((equal & more) + more) ^ more) | equal
+        up = fewer | (every & ~(horizontal | more))
+        down = more & horizontal
+        if up & top:
+            score += 1
+        elif down & top:
+            score -= 1
+            if score < best[0]:
+                best = score, at
+        up, down = up << 1 & every, down << 1 & every
+        more = down | (every & ~(vertical | up))
+        fewer = up & vertical
+    return best
+
+
+def bands(where: np.ndarray, starts: np.ndarray, counts: np.ndarray, places: np.ndarray, wide: int, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bands, and how many of the item's places each shares. Entry i is one place of the item, with its gram's places in the text, in order, at where[starts[i]:][:counts[i]]."""
+    grams, at = np.unique(starts, return_index=True)
+    pruned, first, n = [], np.zeros(len(grams), np.int64), 0
+    for g, k in enumerate(at.tolist()):
+        t = where[starts[k] : starts[k] + counts[k]]
+        if len(t) > 2:
+            new = np.r_[True, t[1:] // wide != t[:-1] // wide, True]
+            t = t[new[:-1] | new[1:]]
+        pruned.append(t)
+        first[g], n = n, n + len(t)
+    where, sizes = np.concatenate(pruned), np.array([len(t) for t in pruned])
+    own = np.searchsorted(grams, starts)
+    counts, starts = sizes[own], first[own]
+    low = (int(where.min()) - m) // wide
+    totals = np.zeros((int(where.max()) // wide) - low + 3, np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(counts) // EXPANDED, prepend=-1))
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(counts)], strict=True):
+        c = counts[a:b]
+        rows = np.repeat(starts[a:b] - np.cumsum(c) + c, c) + np.arange(c.sum())
+        place = np.repeat(places[a:b], c)
+        band = (where[rows] - place) // wide - low
+        # band b has diagonals (b - 1) * wide to (b + 1) * wide - 1; each place counts once in it
+        keys = np.unique(np.concatenate([band * m + place, (band + 1) * m + place]))
+        totals += np.bincount(keys // m, minlength=len(totals))
+    found = np.flatnonzero(totals)
+    return found + low, totals[found]
+
+
 def leaks(text: str, items: Items) -> list[tuple[int, int, int, int]]:
     """(number of the item, distance, start, end) for each item that the text leaks; code points of the text."""
     q, best = items.q, {}
@@ -166,31 +235,28 @@ def leaks(text: str, items: Items) -> list[tuple[int, int, int, int]]:
         found = np.searchsorted(items.keys, hashes[where])
         real = (found < len(items.keys)) & (items.keys[np.minimum(found, len(items.keys) - 1)] == hashes[where])
         where, found = where[real], found[real]
-        counts = items.count[found]
-        rows = np.repeat(items.first[found], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        item = items.item[rows]
-        enough = (np.bincount(item, minlength=len(items.ids)) >= items.bounds)[item]
-        if not enough.any():
-            continue
-        item, place, where = item[enough], items.place[rows[enough]], np.repeat(where, counts)[enough]
-        band = (where - place) // (2 * items.edits[item] + 1)
-        # band b has diagonals (b - 1) * wide to (b + 1) * wide - 1, where wide is 2 * e + 1; the three numbers packed: item, band, place
-        keys = np.concatenate([item << 43 | (b + (1 << 20)) << 21 | place for b in (band, band + 1)])
-        pairs, n = np.unique(np.unique(keys) >> 21, return_counts=True)
-        pairs = np.stack([pairs >> 22, (pairs & (1 << 22) - 1) - (1 << 20)])
-        for k, b in pairs[:, n >= items.bounds[pairs[0]]].T.tolist():
-            if k in best and not best[k][0]:
-                continue
-            e = int(items.edits[k])
-            low, high = (b - 1) * (2 * e + 1), (b + 1) * (2 * e + 1) - 1
-            begin = max(0, low - e)
-            passage = points[begin : max(begin, high + int(items.sizes[k]) + e)]
-            distance, end = align(items.points[k], passage, low - begin, high - begin)
-            if distance > e or (k in best and best[k][0] <= distance):
-                continue
-            back = align(items.points[k][::-1], passage[:end][::-1], -e, e, fixed=True)
-            start = max(0, end - back[1])
-            best[k] = distance, int(places[at + begin + start]), int(places[at + begin + end - 1]) + 1
+        times = np.bincount(found, minlength=len(items.keys))
+        shared = np.bincount(items.item[times[items.gram] > 0], minlength=len(items.ids))
+        where, first = where[np.argsort(found, kind="stable")], np.cumsum(times) - times
+        for k in np.flatnonzero(shared >= items.bounds).tolist():
+            m, e = int(items.sizes[k]), int(items.edits[k])
+            entries = items.entries[k][times[items.gram[items.entries[k]]] > 0]
+            of = items.gram[entries]
+            band, n = bands(where, first[of], times[of], items.place[entries], 2 * e + 1, m)
+            band, n = band[n >= items.bounds[k]], n[n >= items.bounds[k]]
+            for part, counts in zip(*(np.split(x, np.flatnonzero(np.diff(band) != 1) + 1) for x in (band, n)), strict=True) if len(band) else ():
+                for group, most in [(part, counts.max())] if len(part) > FEW else [(part[i : i + 1], counts[i]) for i in range(len(part))]:
+                    if k in best and best[k][0] <= max(0, -(-(m + 1 - int(most)) // q) - 1):  # the lemma: no fewer edits here
+                        continue
+                    low, high = (int(group[0]) - 1) * (2 * e + 1), (int(group[-1]) + 1) * (2 * e + 1) - 1
+                    begin = max(0, low - e)
+                    passage = points[begin : max(begin, high + m + e)]
+                    distance, end = scan(items.points[k], passage) if len(group) > 1 or m > WIDE else align(items.points[k], passage, low - begin, high - begin)
+                    if distance > e or (k in best and best[k][0] <= distance):
+                        continue
+                    back = align(items.points[k][::-1], passage[max(0, end - m - 2 * e) : end][::-1], -e, e, fixed=True)
+                    start = max(0, end - back[1])
+                    best[k] = distance, int(places[at + begin + start]), int(places[at + begin + end - 1]) + 1
     return [(k, *best[k]) for k in sorted(best)]
 
 
@@ -218,6 +284,7 @@ def blocks(benchmark: DataFrame, item_column: str, text_column: str, block_chars
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", q: int = Q, share: float = BUDGET, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """row (a struct of the other columns of docs), item_id, distance, item_chars, start, end: a row for each row of docs and item that it leaks."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns if c != text_column)).alias("row"), docs[text_column].alias("text"))
     schema = rows.select("row", *(F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in HITS.split(", "))).schema
     found = docs.sparkSession.createDataFrame([], schema)
@@ -235,6 +302,7 @@ def _clean(batches: Iterator[pa.RecordBatch], items: Broadcast, text_column: str
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", q: int = Q, share: float = BUDGET, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of docs that leak no item. Rows are judged where they are, so nothing is shuffled."""
+    bounded_batches(docs.sparkSession)
     for block in blocks(benchmark, item_column, item_text_column, block_chars):
         items = docs.sparkSession.sparkContext.broadcast(Items(block, q, share, min_chars))
         docs = docs.mapInArrow(partial(_clean, items=items, text_column=text_column), docs.schema)
