@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from brooklog.llm.common import shared_dir, text_of, written
 from brooklog.llm.secrets_scan import count
-from brooklog.llm.spans import joined, matches, none, of_kind, overlaps, spans
+from brooklog.llm.spans import joined, none, of_kind, overlaps, with_spans
 
 LOCAL = "A-Za-z0-9._%+-"
 #: As in the contract, with possessive quantifiers (nothing that follows could take a character back) and without new starts inside a run, where a match can only fail again; so long runs cost linear time and no recursion. After a match the rest of its run is tried (\G).
@@ -36,8 +36,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OTHER = r"(?<![A-Za-z0-9._@+-])(?=[A-Za-z._@+-]*+[0-9])[A-Za-z0-9@+][A-Za-z0-9._@+-]{4,}"
 KINDS = ["email", "ip", "card", "phone", "context"]
 ROUNDS, MIN_SEEDS, MIN_SCORE = 3, 3, 0.8
-#: Code points before and after an instance in which its two words are sought.
-CONTEXT = 60
+#: Code points of a block of text. An instance's two words are sought in its block and the next one, so of longer words the nearer part of one block or more counts.
+BLOCK = 4096
 #: First characters of patterns: side, words.
 BEFORE, BEFORE_ONE, AFTER, AFTER_ONE = "<2 ", "<1 ", ">2 ", ">1 "
 
@@ -73,21 +73,25 @@ def instances(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     df = df.withColumn("digit", F.col("text").rlike("[0-9]"))
     patterns = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "other": OTHER}
     gates = {"email": F.contains("text", F.lit("@")), "phone": F.contains("text", F.lit("+")) & F.col("digit")}
-    df = df.select("*", *(matches(F.col("text"), p, gates.get(k, F.col("digit"))).alias(f"{k}_found") for k, p in patterns.items()))
-    df = df.select("id", "text", *(spans(F.col("text"), p, F.col(f"{k}_found")).alias(k) for k, p in patterns.items()))
+    df = with_spans(df, patterns, {k: gates.get(k, F.col("digit")) for k in patterns})
     df = df.select("id", "text", "other", *(F.when(F.size(k) > 0, F.filter(k, partial(valid, k))).otherwise(none()).alias(k) for k in KINDS[:4]))
     df = df.withColumn("seeds", F.concat(*KINDS[:4]))
-    df = df.withColumn("other", F.when(F.size("other") > 0, F.filter("other", lambda x: ~overlaps(x, F.col("seeds")))).otherwise(none()))
+    apart = lambda x: ~overlaps(x, "email") & ~overlaps(x, "ip") & ~overlaps(x, "card") & ~overlaps(x, "phone")
+    df = df.withColumn("other", F.when(F.size("other") > 0, F.filter("other", apart)).otherwise(none()))
+    # the text in blocks, so that what stands around an instance is found without a look at all that comes before it
+    df = df.withColumn("blocks", F.when(F.size("seeds") + F.size("other") > 0, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
 
     def occurrence(x: Column, seed: bool) -> Column:
-        before = F.lower(F.right(F.substring(F.col("text"), F.lit(1), x["start"]), F.lit(CONTEXT)))
-        after = F.lower(F.substring(F.col("text"), x["end"] + 1, F.lit(CONTEXT)))
-        sides = [(BEFORE, before, r"((?:\S+\s+)?\S+)\s*$"), (BEFORE_ONE, before, r"(\S+)\s*$"), (AFTER, after, r"^\s*(\S+(?:\s+\S+)?)"), (AFTER_ONE, after, r"^\s*(\S+)")]
+        block = lambda place, k: F.coalesce(F.get("blocks", F.floor(place / BLOCK).cast("int") + k), F.lit(""))
+        before = F.lower(F.concat(block(x["start"], -1), F.substring(block(x["start"], 0), F.lit(1), F.pmod(x["start"], F.lit(BLOCK)))))
+        after = F.lower(F.concat(F.substring(block(x["end"], 0), F.pmod(x["end"], F.lit(BLOCK)) + 1, F.lit(BLOCK)), block(x["end"], 1)))
+        # possessive, and from the starts of words only, so that a try never takes back what it took
+        sides = [(BEFORE, before, r"(?<!\S)((?:\S++\s++)?+\S++)\s*+$"), (BEFORE_ONE, before, r"(?<!\S)(\S++)\s*+$"), (AFTER, after, r"^\s*(\S+(?:\s+\S+)?)"), (AFTER_ONE, after, r"^\s*(\S+)")]
         patterns = F.filter(F.array(*(F.concat(F.lit(k), F.regexp_extract(t, p, 1)) for k, t, p in sides)), lambda p: F.length(p) > len(BEFORE))
         return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lower(x["value"]).alias("value"), patterns.alias("patterns"), F.lit(seed).alias("seed"))
 
     found = F.concat(F.transform("seeds", lambda x: occurrence(x, True)), F.transform("other", lambda x: occurrence(x, False)))
-    base = F.array_sort(F.concat(*(of_kind(F.col(k), n) for n, k in enumerate(KINDS[:4]))))
+    base = F.sort_array(F.concat(*(of_kind(F.col(k), n) for n, k in enumerate(KINDS[:4]))))
     return df.select("id", F.xxhash64("text").alias("text_key"), base.alias("base"), found.alias("occurrences"))
 
 
@@ -126,5 +130,5 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = joined(F.col("base"), KINDS)
     return found.select(
         F.col("id").alias("doc_id"), *(count(n).alias(f"n_{k}") for n, k in enumerate(KINDS[:4])), F.sha2(base.cast("binary"), 256).alias("base_sha256"),
-        joined(F.array_sort(F.concat("base", "added")), KINDS).alias("spans"), count(4, "added").alias("n_context"),
+        joined(F.sort_array(F.concat("base", "added")), KINDS).alias("spans"), count(4, "added").alias("n_context"),
     )

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklog.llm.common import text_of
-from brooklog.llm.spans import joined, matches, none, of_kind, overlaps, spans
+from brooklog.llm.spans import joined, none, of_kind, overlaps, with_spans
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Runs of these characters match as wholes, so a least length can stand in the pattern.
@@ -35,21 +35,43 @@ ALLOW = ["(?i)example|sample|placeholder|changeme|dummy", "(?i)(.)\\1{5}", "^[0-
 KINDS = ["assign", "access", "hex", "entropy"]
 
 
+#: Counters of the alphabet's characters in a number, and bits of a counter.
+PACKED, BITS = 10, 6
+
+
 def peak_entropy(value: Column, window: int = WINDOW) -> Column:
-    """The largest Shannon entropy, in bits, of any window of value, from counts that are kept up to date."""
-    term = lambda c: F.when(c < 2, F.lit(0.0)).otherwise(c * F.log2(F.greatest(c, F.lit(1)).cast("double")))
-    code = lambda acc, i: F.instr(F.lit(ALPHABET), F.substring(acc["value"], i, F.lit(1)))
+    """The largest Shannon entropy, in bits, of any window of value: a character that comes and one that goes change two counters, which are packed into a few numbers, and the sum of c * log2(c)."""
+    if not 0 < window < 1 << BITS:
+        raise ValueError(f"a window has 1 to {(1 << BITS) - 1} characters")
+    n = -(-len(ALPHABET) // PACKED)
+    terms = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)))
+
+    def step(codes: Column, acc: Column, i: Column) -> Column:
+        # in three steps, each of which names what the next uses
+        coming, going = F.get(codes, i), F.when(i >= window, F.get(codes, F.greatest(i - window, F.lit(0)))).otherwise(-1)
+        one = F.array(F.struct(coming.alias("coming"), going.alias("going")))
+
+        def counted(x: Column) -> Column:
+            count = lambda code: F.call_function("shiftright", acc["counts"][F.greatest((code / PACKED).cast("int"), F.lit(0))], BITS * F.pmod(code, F.lit(PACKED))).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+            return F.struct(x["coming"].alias("coming"), x["going"].alias("going"), count(x["coming"]).alias("more"), count(x["going"]).alias("fewer"))
+
+        def changed(x: Column) -> Column:
+            same = x["coming"] == x["going"]
+            total = acc["total"] + F.when(same, 0.0).otherwise(terms[x["more"] + 1] - terms[x["more"]] + F.when(x["going"] >= 0, terms[F.greatest(x["fewer"] - 1, F.lit(0))] - terms[x["fewer"]]).otherwise(0.0))
+            unit = lambda code, k: F.when((code >= 0) & ((code / PACKED).cast("int") == k), F.call_function("shiftleft", F.lit(1).cast("long"), BITS * F.pmod(code, F.lit(PACKED)))).otherwise(F.lit(0).cast("long"))
+            counts = F.transform(acc["counts"], lambda c, k: c + unit(x["coming"], k) - unit(x["going"], k))
+            return F.struct(counts.alias("counts"), total.alias("total"))
+
+        def judged(x: Column) -> Column:
+            best = F.when(i >= window - 1, F.greatest(acc["best"], F.lit(math.log2(window)) - x["total"] / window)).otherwise(acc["best"])
+            return F.struct(x["counts"].alias("counts"), x["total"].alias("total"), best.alias("best"))
 
-    def step(acc: Column, i: Column) -> Column:
-        coming, going = code(acc, i), F.when(i > window, code(acc, i - window)).otherwise(0)
-        more, fewer = acc["counts"][coming - 1], F.when(going > 0, acc["counts"][F.greatest(going - 1, F.lit(0))]).otherwise(0)
-        total = acc["total"] + F.when(coming == going, 0.0).otherwise(term(more + 1) - term(more) + F.when(going > 0, term(fewer - 1) - term(fewer)).otherwise(0.0))
-        counts = F.transform(acc["counts"], lambda c, k: c + (k == coming - 1).cast("int") - (k == going - 1).cast("int"))
-        best = F.when(i >= window, F.greatest(acc["best"], F.lit(math.log2(window)) - total / window)).otherwise(acc["best"])
-        return F.struct(counts.alias("counts"), total.alias("total"), best.alias("best"), acc["value"].alias("value"))
+        return F.transform(F.transform(F.transform(one, counted), changed), judged)[0]
 
-    begin = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("total"), F.lit(0.0).alias("best"), value.alias("value"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(value)), begin, step, lambda acc: acc["best"])
+    begin = F.struct(F.array_repeat(F.lit(0).cast("long"), n).alias("counts"), F.lit(0.0).alias("total"), F.lit(0.0).alias("best"))
+    codes = F.transform(F.filter(F.split(value, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    # an array of one, so that the codes are worked out once
+    return F.transform(F.array(codes), lambda own: F.aggregate(F.sequence(F.lit(0), F.size(own) - 1), begin, lambda acc, i: step(own, acc, i), lambda acc: acc["best"]))[0]
 
 
 def is_secret(value: Column, window: int = WINDOW, classes=CLASSES, allow=ALLOW) -> Column:
@@ -67,13 +89,13 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     df = docs.select(docs[id_column].alias("id"), text_of(docs, text_column).alias("text"))
     patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "candidate": CANDIDATE}
     gates = {"assign": None, "access": F.contains("text", F.lit("AKIA")), "hex": None, "candidate": None}
-    df = df.select("*", *(matches(F.col("text"), p, gates[k]).alias(f"{k}_found") for k, p in patterns.items()))
-    df = df.select("id", *(spans(F.col("text"), p, F.col(f"{k}_found")).alias(k) for k, p in patterns.items()))
+    df = with_spans(df, patterns, gates).drop("text")
     df = df.withColumn("assign", F.filter("assign", lambda x: F.length(F.regexp_extract(x["value"], f"^{ASSIGN}", 2)) >= 6))
-    df = df.withColumn("base", F.concat(*(of_kind(F.col(k), n) for n, k in enumerate(KINDS[:3]))))
-    extra = F.filter("candidate", lambda x: ~overlaps(x, F.col("base")) & is_secret(x["value"], window, classes, allow))
+    df = df.withColumn("base", F.sort_array(F.concat(*(of_kind(F.col(k), n) for n, k in enumerate(KINDS[:3])))))
+    apart = lambda x: ~overlaps(x, "assign") & ~overlaps(x, "access") & ~overlaps(x, "hex")
+    extra = F.filter("candidate", lambda x: apart(x) & is_secret(x["value"], window, classes, allow))
     df = df.withColumn("added", F.when(F.size("candidate") > 0, extra).otherwise(none()))
-    return df.select("id", F.array_sort("base").alias("base"), of_kind(F.col("added"), 3).alias("added"))
+    return df.select("id", "base", of_kind(F.col("added"), 3).alias("added"))
 
 
 def count(kind: int, found: str = "base") -> Column:
@@ -85,5 +107,5 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = joined(F.col("base"), KINDS)
     return found.select(
         F.col("id").alias("doc_id"), *(count(n).alias(f"n_{k}") for n, k in enumerate(KINDS[:3])), F.sha2(base.cast("binary"), 256).alias("base_sha256"),
-        joined(F.array_sort(F.concat("base", "added")), KINDS).alias("spans"), count(3, "added").alias("n_entropy"),
+        joined(F.sort_array(F.concat("base", "added")), KINDS).alias("spans"), count(3, "added").alias("n_entropy"),
     )

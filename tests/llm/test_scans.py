@@ -6,10 +6,11 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brooklog.llm import decontaminate, language_id
+from brooklog.llm import decontaminate, language_id, pii, secrets_scan
 from brooklog.llm.language_id import op2_language_id
 from brooklog.llm.pii import KINDS as PII_KINDS
 from brooklog.llm.pii import extract, op8_pii
@@ -197,3 +198,21 @@ def test_leaks_of_a_table(spark):
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0 and decontaminate.without_leaks(docs.limit(0), bench).count() == 0
     many = decontaminate.find_leaks(docs, bench, block_chars=40)
     assert {(r["row"]["doc_id"], r["item_id"]) for r in many.collect()} == {(1, 10), (None, 10)}
+
+
+def test_many_matches_and_a_long_candidate_take_linear_time(spark):
+    rng = random.Random(2)
+    long = "".join(rng.choice(secrets_scan.ALPHABET[:62]) for _ in range(400_000))
+    texts = [" ".join(f"token={rng.randrange(10**9):09x}" for _ in range(60_000)), long, " ".join(f"u{k}@x.org id 9{k}ab" for k in range(30_000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(tuple(r) for r in secrets_scan.scan(df).selectExpr("id", "size(base)", "size(added)").collect()) == [(0, 60_000, 0), (1, 0, 1), (2, 0, 0)]
+    got = {r["id"]: r for r in pii.instances(df).selectExpr("id", "size(base) AS n", "size(occurrences) AS m", "get(occurrences, 59999) AS last").collect()}
+    assert (got[2]["n"], got[2]["m"]) == (30_000, 60_000) and got[2]["last"]["start"] == texts[2].index("929999ab") and "<2 u29999@x.org id" in got[2]["last"]["patterns"]
+
+
+def test_repetitive_texts_and_items_leak_in_bounded_memory():
+    item, other = "ab" * 700, "ab" * 300 + "q" + "ab" * 300
+    items = decontaminate.Items([(1, item), (2, other)])
+    assert [x[:2] for x in decontaminate.leaks("ab" * 20_000, items)] == [(0, 0), (1, 1)]
+    assert decontaminate.scan(np.array([1, 2, 3]), np.array([9, 1, 3, 9, 1, 2, 3, 1, 2, 3])) == (0, 7)
+    assert decontaminate.scan(np.array([1, 2, 3, 4]), np.array([9, 1, 3, 4, 9])) == (1, 4)
