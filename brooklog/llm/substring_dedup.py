@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklog.llm.common import attempt, bounded_batches, id_of, make_folder, own_caches, remove, shared_dir, text_of, written
@@ -104,8 +104,19 @@ def _packed(batches: Iterator[pa.RecordBatch], window: int, parts: int, bits: in
         yield flush()
 
 
-MERGED = "kind string, part int, run string, id long, fingerprints binary, firsts binary"
-MERGED_ARROW = pa.schema([("kind", pa.string()), ("part", pa.int32()), ("run", pa.string()), ("id", pa.int64()), ("fingerprints", pa.binary()), ("firsts", pa.binary())])
+MERGED = "kind string, part int, run string, bucket int, ids binary, fingerprints binary, firsts binary"
+MERGED_ARROW = pa.schema([("kind", pa.string()), ("part", pa.int32()), ("run", pa.string()), ("bucket", pa.int32()), ("ids", pa.binary()), ("fingerprints", pa.binary()), ("firsts", pa.binary())])
+#: Modulus and factor of the generator that deals ids to buckets.
+PRIME, FACTOR = 2**31 - 1, 48271
+
+
+def _bucket(ids: np.ndarray, parts: int) -> np.ndarray:
+    return np.mod(ids ^ (ids >> 31), PRIME) * FACTOR % PRIME % parts
+
+
+def bucket_of(c: Column, parts: int) -> Column:
+    """The same from column functions."""
+    return (F.pmod(c.bitwiseXOR(F.shiftright(c, 31)), F.lit(PRIME).cast("long")) * FACTOR % PRIME % parts).cast("int")
 
 
 def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
@@ -133,11 +144,11 @@ def _write_run(store: fs.FileSystem, root: str, part: int, prints: np.ndarray, f
     table = pa.table({"fingerprint": (prints ^ _U(1 << 63)).view(np.int64), "first": firsts})
     with store.open_output_stream(f"{root}/{name}") as f:
         pq.write_table(table, f, use_dictionary=False, column_encoding="DELTA_BINARY_PACKED", compression="none", write_statistics=False, row_group_size=1 << 20)
-    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(("run", part, name, None, None, None), MERGED_ARROW, strict=True)], schema=MERGED_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(("run", part, name, None, None, None, None), MERGED_ARROW, strict=True)], schema=MERGED_ARROW)
 
 
-def _merge(batches: Iterator[pa.RecordBatch], folder: str, keep: bool) -> Iterator[pa.RecordBatch]:
-    """For each part, the hits of the batch by document, and (keep) the file of the new run."""
+def _merge(batches: Iterator[pa.RecordBatch], folder: str, parts: int, keep: bool) -> Iterator[pa.RecordBatch]:
+    """For each part, the hits of the batch by bucket of their documents, and (keep) the file of the new run."""
     store, root = fs.FileSystem.from_uri(folder)
     for part, rows in _by_part(batches):
         new = [r for r in rows if r["run"] is None]
@@ -160,13 +171,13 @@ def _merge(batches: Iterator[pa.RecordBatch], folder: str, keep: bool) -> Iterat
                 fresh &= ~old
         first = np.repeat(firsts, np.diff(np.r_[starts, len(prints)]))
         hit = np.flatnonzero(ids > first)
-        hit = hit[np.argsort(ids[hit], kind="stable")]
-        edges = np.flatnonzero(np.r_[True, ids[hit][1:] != ids[hit][:-1]]) if len(hit) else np.empty(0, np.int64)
-        for k in range(0, len(edges), 5000):
-            some = edges[k : k + 5000]
-            ends = [*edges[k + 1 : k + 5000].tolist(), int(edges[k + 5000]) if k + 5000 < len(edges) else len(hit)]
-            out = [("hit", part, None, int(ids[hit[a]]), prints[hit[a:b]].tobytes(), first[hit[a:b]].astype("<i8").tobytes()) for a, b in zip(some.tolist(), ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), MERGED_ARROW, strict=True)], schema=MERGED_ARROW)
+        bucket = _bucket(ids[hit], parts)
+        order = np.argsort(bucket, kind="stable")
+        hit, edges = hit[order], np.searchsorted(bucket[order], np.arange(parts + 1))
+        for k in np.flatnonzero(np.diff(edges)).tolist():
+            some = hit[edges[k] : edges[k + 1]]
+            row = ("hit", part, None, k, ids[some].astype("<i8").tobytes(), prints[some].tobytes(), first[some].astype("<i8").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, MERGED_ARROW, strict=True)], schema=MERGED_ARROW)
         if keep and fresh.any():
             yield _write_run(store, root, part, own[fresh], firsts[fresh])
 
@@ -194,23 +205,32 @@ def _rows(found: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _segments(batches: Iterator[pa.RecordBatch], window: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """From texts and their hits."""
+    """From the hits of a bucket and then its texts: the segments of the texts that have hits."""
+    bucket, held, ids = None, [], None
     for batch in batches:
         out = []
-        for i, key, text, hits in zip(*(batch.column(c).to_pylist() for c in ("id", "text_key", "text", "hits")), strict=True):
+        for at, i, key, text, *packed in zip(*(batch.column(c).to_pylist() for c in ("bucket", "id", "text_key", "text", "ids", "fingerprints", "firsts")), strict=True):
+            if at != bucket:
+                bucket, held, ids = at, [], None
+            if text is None:
+                held.append(packed)
+                continue
+            if ids is None:
+                ids, known, firsts = (np.frombuffer(b"".join(h[k] for h in held), t) for k, t in enumerate(("<i8", _U, "<i8")))
+                order, held = np.lexsort((known, ids)), []
+                ids, known, firsts = ids[order], known[order], firsts[order]
+            a, b = np.searchsorted(ids, i, "left"), np.searchsorted(ids, i, "right")
+            if a == b:
+                continue
             words = words_of(text)
             prints = fingerprints(hashes_of(words), window, bits)
-            known = np.concatenate([np.frombuffer(h["fingerprints"], _U) for h in hits])
-            firsts = np.concatenate([np.frombuffer(h["firsts"], "<i8") for h in hits])
-            order = np.argsort(known)
-            known, firsts = known[order], firsts[order]
-            at = np.minimum(np.searchsorted(known, prints), len(known) - 1)
-            places = np.flatnonzero(known[at] == prints)
-            first = firsts[at[places]]
+            own = np.minimum(np.searchsorted(known[a:b], prints), b - a - 1)
+            places = np.flatnonzero(known[a:b][own] == prints)
+            first = firsts[a:b][own[places]]
             starts = np.flatnonzero(np.r_[True, (np.diff(places) != 1) | (np.diff(first) != 0)]) if len(places) else places
-            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(places)], strict=True) if len(places) else ():
-                s, n = int(places[a]), b - a
-                out.append((i, key, s, n, int(first[a]), int(prints[s].view(np.int64)), _digest(words, s, n, window)))
+            for x, y in zip(starts.tolist(), [*starts[1:].tolist(), len(places)], strict=True) if len(places) else ():
+                s, n = int(places[x]), y - x
+                out.append((i, key, s, n, int(first[x]), int(prints[s].view(np.int64)), _digest(words, s, n, window)))
         yield _rows(out, SEGMENTS_ARROW)
 
 
@@ -308,21 +328,21 @@ class SubstringIndex:
         self.runs = []
 
     def add(self, batch: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: bool = True) -> DataFrame:
-        """The hits: id, fingerprints, firsts (arrays of 64-bit numbers, packed), some rows a document. keep: the batch enters the index."""
+        """The hits: bucket, ids, fingerprints, firsts (arrays of 64-bit numbers, packed), a row for each part and bucket. keep: the batch enters the index."""
         self.batches += 1
         docs = batch.select(id_of(batch, id_column).alias("id"), text_of(batch, text_column).alias("text"))
         rows = docs.mapInArrow(partial(_packed, window=self.window, parts=self.parts, bits=self.bits), PACKED)
         if self.runs:
             rows = rows.unionByName(self._known(), allowMissingColumns=True)
         rows = rows.repartition(self.parts, "part").sortWithinPartitions("part")
-        found = written(rows.mapInArrow(partial(_merge, folder=self.files, keep=keep), MERGED), f"{self.root}/hits-{self.batches}", ["kind"])
+        found = written(rows.mapInArrow(partial(_merge, folder=self.files, parts=self.parts, keep=keep), MERGED), f"{self.root}/hits-{self.batches}", ["kind"])
         if keep:
             listed = f"{self.root}/run-{self.batches}"
             written(found.where("kind = 'run'").select("part", "run").coalesce(1), listed)
             self.runs.append(listed)
             if len(self.runs) > self.max_runs:
                 self._compact_runs()
-        return found.where("kind = 'hit'").select("id", "fingerprints", "firsts")
+        return found.where("kind = 'hit'").select("bucket", "ids", "fingerprints", "firsts")
 
 
 def _confirmed(texts: DataFrame, segments: DataFrame, scratch: str, window: int, bits: int) -> tuple[DataFrame, DataFrame]:
@@ -337,12 +357,13 @@ def _confirmed(texts: DataFrame, segments: DataFrame, scratch: str, window: int,
     return judged.where("good").select("id", "text_key", "start", "length"), judged.where("good IS NULL").drop("good")
 
 
-def cut(docs: DataFrame, hits: DataFrame, scratch: str, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, bits: int = 64) -> DataFrame:
-    """A row for each row of docs: doc_id, n_words, n_removed, kept_sha256, without the words of verified hits. docs must hold all documents that hits name."""
+def cut(docs: DataFrame, hits: DataFrame, scratch: str, parts: int, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, bits: int = 64) -> DataFrame:
+    """A row for each row of docs: doc_id, n_words, n_removed, kept_sha256, without the words of verified hits. docs must hold all documents that hits name; parts: of the index."""
     rows = docs.select(docs[id_column].alias("doc_id"), id_of(docs, id_column).alias("id"), text_of(docs, text_column).alias("text"), F.xxhash64(text_of(docs, text_column)).alias("text_key"))
     texts = rows.select("id", "text_key", "text")
-    by_doc = hits.groupBy("id").agg(F.collect_list(F.struct("fingerprints", "firsts")).alias("hits"))
-    segments = written(texts.join(by_doc, "id").mapInArrow(partial(_segments, window=window, bits=bits), SEGMENTS), f"{scratch}/segments")
+    dealt = texts.withColumn("bucket", bucket_of(F.col("id"), parts)).unionByName(hits, allowMissingColumns=True)
+    dealt = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", F.col("text").isNotNull())
+    segments = written(dealt.mapInArrow(partial(_segments, window=window, bits=bits), SEGMENTS), f"{scratch}/segments")
     good, other = _confirmed(texts.select("id", "text"), segments, f"{scratch}/whole", window, bits)
     if not other.isEmpty():
         parts = other.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "length", "first")).alias("parts"))
@@ -372,7 +393,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = index.add(docs.where(inside))
         hits = found if hits is None else hits.unionByName(found)
     index.drop()
-    return cut(docs, hits, scratch)
+    return cut(docs, hits, scratch, index.parts)
 
 
 OP6_SQL = r"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from brooklog.llm.components import components
 from brooklog.llm.exact_dedup import ExactDedup, op1_exact_dedup
 from brooklog.llm.line_dedup import kept_lines, line_bitmaps, op9_line_dedup
 from brooklog.llm.ngram_join import NgramJoin, op4_ngram_join
-from brooklog.llm.substring_dedup import SubstringIndex, cut, op6_substring_dedup
+from brooklog.llm.substring_dedup import SubstringIndex, _bucket, bucket_of, cut, op6_substring_dedup
 
 from . import brute
 from .conftest import by_id
@@ -88,8 +89,8 @@ def test_extra_columns_may_have_any_name(spark, scratch, name):
     elif name == "near":
         assert {r["component"] for r in NgramJoin(df, scratch()).result().collect()} == {0}
     else:
-        hits = SubstringIndex(spark, scratch(), window=3).add(df)
-        assert sorted(r["n_removed"] for r in cut(df, hits, scratch(), window=3).collect()) == [0, 5, 5]
+        hits = SubstringIndex(spark, scratch(), window=3, parts=4).add(df)
+        assert sorted(r["n_removed"] for r in cut(df, hits, scratch(), 4, window=3).collect()) == [0, 5, 5]
 
 
 def test_exact_state_continues_and_collisions_are_resolved(spark, tables, scratch):
@@ -135,7 +136,7 @@ def test_substring_index_over_batches(spark, scratch, bits):
         hits = found if hits is None else hits.unionByName(found)
         state = index.state()
         assert len(index.runs) <= 2
-    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in cut(frame(rows), hits, scratch(), bits=bits).collect()}
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in cut(frame(rows), hits, scratch(), index.parts, bits=bits).collect()}
     assert got == brute.substrings(rows)
     known = [r["fingerprint"] for r in spark.read.parquet(f"{root}/files").collect()]
     assert len(known) == len(set(known)) and index.batches == 4
@@ -235,3 +236,9 @@ def test_components(spark, scratch):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long"), scratch()).collect()}
     assert got == {k: 0 for k in range(41)} | {100: 100, 200: 100, 300: 100}
     assert components(spark.createDataFrame([], "u long, v long"), scratch()).count() == 0
+
+
+def test_buckets_of_ids_are_the_same_in_tasks_and_in_columns(spark):
+    ids = [0, 1, 7, -1, -12345678901, 2**62, 2**63 - 1, -(2**63), 10**15]
+    got = spark.createDataFrame([(i,) for i in ids], "i long").select("i", bucket_of(F.col("i"), 51).alias("b")).collect()
+    assert {r["i"]: r["b"] for r in got} == dict(zip(ids, _bucket(np.array(ids), 51).tolist(), strict=True))
