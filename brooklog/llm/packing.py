@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -36,8 +37,8 @@ from brooklog.llm.common import bounded_batches, own_caches
 
 CAPACITY = 2048
 END_ID = 1
-#: Words of which a worker keeps the ids; beyond it starts anew.
-CACHE_WORDS = 400_000
+#: Words of which a worker keeps the ids, in two generations: when the newer is full, it becomes the older, and that is forgotten.
+CACHE_WORDS = 1_000_000
 #: Fillers that a task holds.
 FILLERS = 64
 #: Longer texts are encoded in segments of about so many bytes, cut at white space.
@@ -45,6 +46,10 @@ SEGMENT = 4_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """Ids of whole texts for tokenizers whose pre-tokenizer drops white space: words between ASCII white space are then encoded independently, and repeated words are looked up."""
 
@@ -52,22 +57,26 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cache = Tokenizer.from_file(path), {}
+        self.tokenizer, self.cache, self.older = Tokenizer.from_file(path), {}, {}
         self.marks = {m: self._encode([m.decode()])[0] for m in (b".", b",")}
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return [_bytes(x.ids) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, words: set[bytes]) -> None:
         """A plain ASCII word's ids are those of its lower-case letters, and of a final mark."""
-        cache, plain, other = self.cache, {}, []
+        cache, older, plain, other = self.cache, self.older, {}, []
         for w in words:
-            if w.isascii() and b"<" not in w:
+            if w in older:
+                cache[w] = older[w]
+            elif w.isascii() and b"<" not in w:
                 stem, mark = (w[:-1], w[-1:]) if w[-1:] in self.marks and w[-2:-1].isalnum() else (w, b"")
                 plain[w] = stem.lower(), mark
             else:
                 other.append(w)
-        wanted = list({stem for stem, _ in plain.values() if stem not in cache})
+        stems = {stem for stem, _ in plain.values() if stem not in cache}
+        cache.update({stem: older[stem] for stem in stems if stem in older})
+        wanted = [stem for stem in stems if stem not in older]
         cache.update(zip(wanted, self._encode([w.decode() for w in wanted]), strict=True))
         cache.update({w: cache[stem] + self.marks.get(mark, b"") for w, (stem, mark) in plain.items()})
         cache.update(zip(other, self._encode([w.decode() for w in other]), strict=True))
@@ -81,8 +90,8 @@ class WordEncoder:
                 end = space.start()
             words = data[at:end].split()
             if missing := {w for w in words if w not in self.cache}:
-                if len(self.cache) + len(missing) > CACHE_WORDS:
-                    self.cache.clear()
+                if len(self.cache) + len(missing) > CACHE_WORDS // 2:
+                    self.cache, self.older = {}, self.cache
                     missing = set(words)
                 self._learn(missing)
             out.append(b"".join(map(self.cache.__getitem__, words)))
