@@ -5,6 +5,8 @@ import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,7 +132,45 @@ def test_limited_partitions(tmp_path, spark, log):
     first = dict(reader.latestOffset())
     second = dict(reader.latestOffset())
     assert list(first) == ["a"] and sorted(second) == ["a", "b"]
-    assert [(s.token, s.low) for s in reader.partitions(first, second)] == [("b", changes.micros("0001-01-01") - 1)]
+    assert [(s.token, s.low) for s in reader.partitions(first, second)] == [("b", (changes.micros("0001-01-01") - 1, ""))]
+
+
+def put(root, name, rows, **options):
+    """rows: (seconds, sequence) of partition a."""
+    (root / "partition_token=a").mkdir(parents=True, exist_ok=True)
+    table = pa.table({"commit_timestamp": pa.array([s * 1_000_000 for s, _ in rows], pa.timestamp("us")), "record_sequence": [q for _, q in rows], "payload": [f"{s}-{q}" for s, q in rows]})
+    pq.write_table(table, root / "partition_token=a" / name, **options)
+
+
+def delivered(reader, start, end):
+    return [r for x in reader.partitions(start, end) for b in reader.read(x) for r in b.column(3).to_pylist()]
+
+
+def test_a_later_record_of_the_same_commit_time_is_delivered(tmp_path):
+    put(tmp_path, "1.parquet", [(1, "1"), (5, "1"), (5, "2")])
+    reader = changes.StreamReader({"path": str(tmp_path)})
+    first = dict(reader.latestOffset())
+    assert delivered(reader, {}, first) == ["1-1", "5-1", "5-2"]
+    put(tmp_path, "2.parquet", [(5, "3")])
+    again = changes.StreamReader({"path": str(tmp_path)})  # a restart
+    again.partitions({}, first)
+    second = dict(again.latestOffset())
+    assert delivered(again, first, second) == ["5-3"] and dict(again.latestOffset()) == second
+
+
+def test_files_without_statistics_are_delivered(tmp_path):
+    put(tmp_path, "1.parquet", [(3, "1"), (2, "1")], write_statistics=False)
+    reader = changes.StreamReader({"path": str(tmp_path)})
+    assert delivered(reader, {}, dict(reader.latestOffset())) == ["2-1", "3-1"]
+
+
+def test_steps_begin_at_the_first_commit(tmp_path):
+    put(tmp_path, "1.parquet", [(100, "1"), (104, "1"), (110, "1"), (125, "1")])
+    reader, at, got = changes.StreamReader({"path": str(tmp_path), "stepSeconds": "10"}), {}, []
+    while (offset := dict(reader.latestOffset())) != at:
+        got.append(delivered(reader, at, offset))
+        at = offset
+    assert got == [["100-1", "104-1", "110-1"], [], ["125-1"]]
 
 
 def test_json_lines():
