@@ -203,7 +203,7 @@ def test_leaks_of_a_table(spark):
 def test_many_matches_and_a_long_candidate_take_linear_time(spark):
     rng = random.Random(2)
     long = "".join(rng.choice(secrets_scan.ALPHABET[:62]) for _ in range(400_000))
-    texts = [" ".join(f"token={rng.randrange(10**9):09x}" for _ in range(60_000)), long, " ".join(f"u{k}@x.org id 9{k}ab" for k in range(30_000))]
+    texts = [" ".join(f"token={rng.randrange(10**9):09x}" for _ in range(60_000)), long, " ".join(f"u{k}@x.org id 9{k:05d}ab" for k in range(30_000))]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(tuple(r) for r in secrets_scan.scan(df).selectExpr("id", "size(base)", "size(added)").collect()) == [(0, 60_000, 0), (1, 0, 1), (2, 0, 0)]
     got = {r["id"]: r for r in pii.instances(df).selectExpr("id", "size(base) AS n", "size(occurrences) AS m", "get(occurrences, 59999) AS last").collect()}
