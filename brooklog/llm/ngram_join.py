@@ -48,6 +48,8 @@ SEEN = 50_000
 RANGES = 128
 #: Classes of a bucket in a cell.
 CELL = 128
+#: Bits of the table of ids whose texts are looked up; ids that share one cost the sending of a text, never a result.
+BITS = 1 << 26
 CLASS = ["c1", "c2"]
 KEY = ["token", "low", "high"]
 MEMBER = "token long, low int, high int, own int, c1 long, c2 long, n int, pos int, signature binary, prior array<long>, size long, rep long"
@@ -381,9 +383,21 @@ class NgramJoin:
         members = rows.repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(partial(_partnered, percent=percent), MEMBER)
         members = written(members, f"{scratch}/members")
         remove(spark, f"{scratch}/possible")
-        wanted = texts.join(members.select(F.col("rep").alias("id")).distinct().hint("merge"), "id", "left_semi")  # the same plan at every size
+        asked = written(members.select(F.col("rep").alias("id")).distinct(), f"{scratch}/asked")
+        wanted = self._screened(texts, asked).hint("merge")  # the same plan at every size
         self.members = written(members.join(wanted, F.col("rep") == F.col("id")).drop("id"), f"{scratch}/texts")
         remove(spark, f"{scratch}/members")
+        remove(spark, f"{scratch}/asked")
+
+    @staticmethod
+    def _screened(texts: DataFrame, asked: DataFrame) -> DataFrame:
+        """Without most of the texts that are not asked for, before they are sent: one bit for each hashed id, in BITS bits whatever the data."""
+        bit = F.pmod(F.xxhash64("id"), F.lit(BITS)) + 1  # the first bucket of a bitmap begins at 1
+        bits = asked.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+        rows = texts.withColumn("bucket", F.bitmap_bucket_number(bit)).withColumn("at", F.bitmap_bit_position(bit))
+        rows = rows.join(F.broadcast(bits), "bucket")  # BITS / 32768 rows of 4 KiB at most
+        byte = F.conv(F.hex(F.expr("substring(bits, CAST(at DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+        return rows.where(byte.bitwiseAND(F.expr("shiftleft(1, CAST(at % 8 AS INT))")) != 0).select("id", "text")
 
     @staticmethod
     def _dealt(rows: DataFrame) -> DataFrame:
