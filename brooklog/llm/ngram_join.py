@@ -370,15 +370,16 @@ class NgramJoin:
         near = written(near, f"{scratch}/near")
         sketch.unpersist()
 
-        signed = self._dealt(near.join(self.firsts.select(*CLASS, "signature"), CLASS))
+        signed = self._dealt(self._with_cells(near).join(self.firsts.select(*CLASS, "signature"), CLASS))
         possible = signed.select(*KEY, "own", *CLASS, "n", "pos", "signature").repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(partial(_possible, percent=percent), POSSIBLE)
         possible = written(possible, f"{scratch}/possible")
         remove(spark, f"{scratch}/near")
 
         # the shared shingles of each class's prefix, in order; a row in a bucket knows those before its own
-        shared = possible.distinct().groupBy(*CLASS).agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("shared"))
+        counted = self._with_cells(possible.distinct())
+        shared = counted.groupBy(*CLASS).agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "token", "cells"))).alias("shared"))
         rows = shared.join(self.firsts, CLASS).select(*CLASS, "n", "signature", "size", "rep", F.col("shared.token").alias("tokens"), F.posexplode("shared").alias("k", "x"))
-        rows = self._dealt(rows.select(*CLASS, "n", "signature", "size", "rep", F.col("x.token").alias("token"), F.col("x.pos").alias("pos"), F.expr("slice(tokens, 1, k)").alias("prior")))
+        rows = self._dealt(rows.select(*CLASS, "n", "signature", "size", "rep", F.col("x.token").alias("token"), F.col("x.pos").alias("pos"), F.col("x.cells").alias("cells"), F.expr("slice(tokens, 1, k)").alias("prior")))
         rows = rows.select(*(c.split()[0] for c in MEMBER.split(", ")))
         members = rows.repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(partial(_partnered, percent=percent), MEMBER)
         members = written(members, f"{scratch}/members")
@@ -400,10 +401,14 @@ class NgramJoin:
         return rows.where(byte.bitwiseAND(F.expr("shiftleft(1, CAST(at % 8 AS INT))")) != 0).select("id", "text")
 
     @staticmethod
-    def _dealt(rows: DataFrame) -> DataFrame:
-        """With low, high, own: each row of a bucket in all pairs of cells that have its own one."""
+    def _with_cells(rows: DataFrame) -> DataFrame:
+        """With the number of cells of each row's bucket; asked of rows without signatures and prefixes, as they are sent by token for it."""
         large = rows.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells")).where("cells > 1")
-        rows = rows.join(large, "token", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+        return rows.join(large, "token", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+
+    @staticmethod
+    def _dealt(rows: DataFrame) -> DataFrame:
+        """With low, high, own: each row of a bucket of `cells` cells in all pairs of cells that have its own one."""
         rows = rows.withColumn("own", F.pmod(F.xxhash64(*CLASS), F.col("cells")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
         return rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
 
