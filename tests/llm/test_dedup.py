@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from brooklog.llm import ngram_join
 from brooklog.llm.components import components
 from brooklog.llm.exact_dedup import ExactDedup, op1_exact_dedup
 from brooklog.llm.line_dedup import kept_lines, line_bitmaps, op9_line_dedup
@@ -242,3 +243,15 @@ def test_buckets_of_ids_are_the_same_in_tasks_and_in_columns(spark):
     ids = [0, 1, 7, -1, -12345678901, 2**62, 2**63 - 1, -(2**63), 10**15]
     got = spark.createDataFrame([(i,) for i in ids], "i long").select("i", bucket_of(F.col("i"), 51).alias("b")).collect()
     assert {r["i"]: r["b"] for r in got} == dict(zip(ids, _bucket(np.array(ids), 51).tolist(), strict=True))
+
+
+def test_screen_keeps_all_texts_that_are_asked_for(spark, monkeypatch):
+    texts = spark.range(-500, 500).selectExpr("id", "string(id) AS text")
+    asked = spark.range(-500, 500, 7).toDF("id")
+    for bits in (1 << 26, 1 << 15, 8):  # with 8 bits nearly all ids share one
+        monkeypatch.setattr(ngram_join, "BITS", bits)
+        kept = {r["id"] for r in ngram_join.NgramJoin._screened(texts, asked).collect()}
+        assert kept >= set(range(-500, 500, 7))
+    monkeypatch.setattr(ngram_join, "BITS", 1 << 26)
+    assert len({r["id"] for r in ngram_join.NgramJoin._screened(texts, asked).collect()}) < 160
+    assert ngram_join.NgramJoin._screened(texts, asked.limit(0)).count() == 0
