@@ -10,7 +10,7 @@ the length filter. Then each class has the list of the shared shingles of its pr
 before. (Before that, rows are dropped that pass the filters with no other of their bucket, which most do.) A pair is a candidate in the bucket of its first common prefix shingle and in no other, so every pair is judged once: by the
 positional filter at that shingle, and by the suffix filter (numbers of shingles in RANGES fixed parts of the hash's values, modulo 16,
 which bound the number of shingles in one set only). Candidates are never rows: a task finds them within a bucket, and names the classes
-that are in any. Only these get their texts, once for each bucket, and the same candidates are then verified by comparing the words of
+that are in any. Only these get their texts (found through a broadcast of BITS bits, 8 MiB), once for each bucket, and the same candidates are then verified by comparing the words of
 their shingles. Buckets of more than CELL classes are dealt over pairs of cells, so a task holds the texts of two cells.
 
 result() gives each document its component and its number of links; for that a task returns, of the pairs it verified, each class's
